@@ -14,6 +14,13 @@ def pk_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def key_conflicts(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``new`` that occur twice in it or are stored already. Counts combine before the shuffle."""
+    both = new.select(*keys, F.lit(True).alias("_new")).unionAll(stored.select(*keys, F.lit(False).alias("_new")))
+    counted = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.bool_or("_new").alias("_new"))
+    return counted.filter((F.col("rows") > 1) & F.col("_new")).drop("_new")
+
+
 def constraint_audit(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """Violations per rule and declared column, counted in one pass.
 

@@ -64,7 +64,7 @@ def explode_list(
     ).withColumn(item_name, F.nullif(F.col(item_name), F.lit("")))
     if id_name is None:
         return items.drop("_at")
-    return number_rows(items, [key_name, "_at"], name=id_name, tie_break=[item_name]).drop("_at")
+    return number_rows(items, [key_name, "_at"], name=id_name).drop("_at")
 
 
 for _step in (blank_to_default, blank_to_null, null_to_default, parse_and_shift, derive, with_now, with_uuid):

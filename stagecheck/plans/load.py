@@ -28,17 +28,17 @@ def run_final(staged: DataFrame, spec: TableSpec, file_name: str) -> DataFrame:
 
 def load_stage1(
     spark: SparkSession, path: str, file_name: str, spec: TableSpec, staging_root: str, multi_line: bool = False,
-    mode: str = "append", on_bad: str = "null",
+    mode: str = "append", on_bad: str = "null", check_keys: bool = True,
 ) -> None:
     """Load one file into staging. ``mode="overwrite"`` replaces what was staged of this file only."""
     rows = read_flat_file(spark, path, multi_line=multi_line)
-    write_staged(run_staging(rows, spec, file_name), staging_root, spec, mode, on_bad)
+    write_staged(run_staging(rows, spec, file_name), staging_root, spec, mode, on_bad, check_keys)
 
 
 def load_stage2(
     spark: SparkSession, file_name: str, spec: TableSpec, staging_root: str, final_root: str, mode: str = "append",
-    on_bad: str = "null",
+    on_bad: str = "null", check_keys: bool = True,
 ) -> None:
     """Load the staged rows of one file into the final table."""
     staged = read_staged(spark, staging_root, spec, file_name)
-    write_final(run_final(staged, spec, file_name), final_root, spec, mode, on_bad)
+    write_final(run_final(staged, spec, file_name), final_root, spec, mode, on_bad, check_keys)

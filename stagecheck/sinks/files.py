@@ -32,8 +32,8 @@ def write_summary(summary: DataFrame, path: str) -> None:
 
 def write_detail(report: DataFrame, path: str) -> None:
     """One file in report order, with header even when empty; bounded by the report limits."""
-    ordered = report.orderBy(*REPORT_ORDER).drop(*REPORT_ORDER)
-    ordered.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
+    ordered = report.repartition(1).sortWithinPartitions(*REPORT_ORDER).drop(*REPORT_ORDER)
+    ordered.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
 def extract_table(
@@ -77,12 +77,15 @@ def archive_dataset(
 def compact_dataset(
     spark: SparkSession, source: str, target: str, target_bytes: int = 256 << 20, target_files: int | None = None,
 ) -> int:
-    """Rewrite many small delimited files as a few of about ``target_bytes`` each; returns their number."""
+    """Rewrite many small delimited files as a few of about ``target_bytes`` each; returns their number.
+
+    Read splits are put together without a shuffle.
+    """
     if target_files is None:
         size = file_manifest(spark, source).agg(F.sum("length").alias("size")).first()["size"] or 0
         target_files = max(1, math.ceil(size / target_bytes))
     rows = read_flat_file(spark, source)
-    rows.repartition(target_files).write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
+    rows.coalesce(target_files).write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
     return target_files
 
 

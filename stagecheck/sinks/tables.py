@@ -7,24 +7,61 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stagecheck import names
+from stagecheck.operators.audit import key_conflicts, pk_duplicates
 from stagecheck.operators.mapping import coerce_declared
-from stagecheck.sources.tables import table_path
+from stagecheck.sources.tables import read_final, read_staged, table_path
 from stagecheck.spec import TableSpec
+from stagecheck.storage import path_exists
 
 
 def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def write_staged(df: DataFrame, root: str, spec: TableSpec, mode: str = "append", on_bad: str = "null") -> None:
-    """Append cleaned rows, cast to their declared types. All rows of a load share one origin file."""
-    typed = coerce_declared(df, spec.staged_columns, on_bad).select(*spec.staged_schema.names)
-    _write(typed, table_path(root, spec.staged_name), names.PRE_ORIGIN_FILE, mode)
+def _refuse_conflicts(new: DataFrame, stored: DataFrame | None, keys: Sequence[str], table: str) -> None:
+    conflicts = pk_duplicates(new, keys) if stored is None else key_conflicts(new, stored, keys)
+    example = conflicts.first()
+    if example is not None:
+        raise ValueError(f"{table}: key {example.asDict()} is not unique")
+
 
+def write_staged(
+    df: DataFrame, root: str, spec: TableSpec, mode: str = "append", on_bad: str = "null", check_keys: bool = True,
+) -> None:
+    """Append cleaned rows, cast to their declared types; ``mode="overwrite"`` replaces their files.
 
-def write_final(df: DataFrame, root: str, spec: TableSpec, mode: str = "append", on_bad: str = "null") -> None:
+    The key of a staging table is the source key and the origin file. As a database would, a
+    load that breaks it is refused, unless ``check_keys`` is off.
+    """
+    typed = coerce_declared(df, spec.staged_columns, on_bad).select(*spec.staged_schema.names)
+    path = table_path(root, spec.staged_name)
+    if check_keys:
+        stored = None
+        if mode == "append" and path_exists(df.sparkSession, path):
+            files = typed.select(names.PRE_ORIGIN_FILE).distinct()
+            stored = read_staged(df.sparkSession, root, spec).join(files, names.PRE_ORIGIN_FILE, "left_semi")
+        _refuse_conflicts(typed, stored, [*spec.staged_keys, names.PRE_ORIGIN_FILE], spec.staged_name)
+    _write(typed, path, names.PRE_ORIGIN_FILE, mode)
+
+
+def write_final(
+    df: DataFrame, root: str, spec: TableSpec, mode: str = "append", on_bad: str = "null", check_keys: bool = True,
+) -> None:
+    """Append mapped rows; ``mode="overwrite"`` replaces their files.
+
+    The key of a final table is the source key alone, over all files.
+    """
     typed = coerce_declared(df, spec.columns, on_bad).select(*spec.final_schema.names)
-    _write(typed, table_path(root, spec.name), names.ORIGIN_FILE, mode)
+    path = table_path(root, spec.name)
+    if check_keys:
+        stored = None
+        if path_exists(df.sparkSession, path):
+            stored = read_final(df.sparkSession, root, spec)
+            if mode == "overwrite":
+                files = typed.select(names.ORIGIN_FILE).distinct()
+                stored = stored.join(files, names.ORIGIN_FILE, "left_anti")
+        _refuse_conflicts(typed, stored, spec.keys, spec.name)
+    _write(typed, path, names.ORIGIN_FILE, mode)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_size: int = 10_000) -> None:

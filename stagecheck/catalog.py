@@ -17,7 +17,7 @@ from stagecheck.operators import audit, cleaning, ledger, mapping, matching, num
 from stagecheck.plans import load, reconcile
 from stagecheck.sinks import files as file_sinks, tables as table_sinks
 from stagecheck.sources import files as file_sources
-from stagecheck.sources.tables import read_final, read_staged
+from stagecheck.sources.tables import query_frames, read_final, read_staged
 from stagecheck.spec import Column, ColumnMapping, TableSpec
 from stagecheck.storage import pin, scratch_path
 
@@ -374,6 +374,17 @@ def recon_summary_line(spark, folder):
     return tracker.summary_line(recon1_summary(spark, folder), 1)
 
 
+@query(CUSTOMER_SQL + """
+SELECT segment, pre_segment, count(*) AS n FROM file JOIN staged ON CAST(id AS BIGINT) = pre_id
+WHERE segment <> pre_segment GROUP BY ALL""")
+def sql_over_frames(spark, folder):
+    """Frames queried by SQL text."""
+    return query_frames(
+        spark, """SELECT segment, pre_segment, count(*) AS n FROM {file} JOIN {staged}
+                  ON try_cast(id AS BIGINT) = pre_id WHERE segment <> pre_segment GROUP BY ALL""",
+        file=customer_file(spark, folder), staged=customer_staged(spark, folder))
+
+
 # --- whole jobs over real folders --------------------------------------------------------
 
 @query("""SELECT 'FAILED' AS reconciliation_outcome, CAST(0 AS BIGINT) AS "count"
@@ -557,9 +568,9 @@ def coerce_declared(spark, folder):
     return mapping.coerce_declared(rows, [Column("customer", "bigint")])
 
 
-@query("SELECT n_nationkey AS pre_n_nationkey, n_name AS pre_n_name, n_regionkey AS pre_n_regionkey FROM nation")
+@query("SELECT c_custkey AS pre_c_custkey, c_name AS pre_c_name, c_mktsegment AS pre_c_mktsegment FROM customer")
 def add_prefix(spark, folder):
-    return mapping.add_prefix(table(spark, folder, "nation"))
+    return mapping.add_prefix(table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"))
 
 
 @query("SELECT s_suppkey, s_name, CAST(NULL AS VARCHAR) AS telephone, CAST(NULL AS VARCHAR) AS email FROM supplier")
@@ -622,14 +633,16 @@ def local_time(spark, folder):
     return table(spark, folder, "events").select("event_id", times.to_local_time(F.col("ts")).alias("local_ts"))
 
 
-@query()
+@query("SELECT s_suppkey, CAST(year(current_date) AS VARCHAR) AS loaded_in FROM supplier")
 def with_now(spark, folder):
-    return cleaning.with_now(table(spark, folder, "supplier"), "loaded_at", "%Y-%m-%d")
+    return cleaning.with_now(table(spark, folder, "supplier").select("s_suppkey"), "loaded_in", "%Y")
 
 
-@query()
+@query("SELECT s_suppkey, 36 AS uuid_length FROM supplier")
 def with_uuid(spark, folder):
-    return cleaning.with_uuid(table(spark, folder, "supplier"), "row_uuid")
+    """The ids are random, so only their form can be compared."""
+    return cleaning.with_uuid(table(spark, folder, "supplier"), "row_uuid").select(
+        "s_suppkey", F.length("row_uuid").alias("uuid_length"))
 
 
 @query("""WITH lists AS (SELECT doc_id, string_split(text, ',') AS parts FROM documents),
@@ -715,6 +728,17 @@ def remap_keys(spark, folder):
     return numbering.remap_fk(items, keys, "l_orderkey")
 
 
+@query("""WITH parents AS (SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) AS new_key FROM customer)
+SELECT CAST(row_number() OVER (ORDER BY new_key, o_orderkey) AS BIGINT) AS o_orderkey,
+       CAST(dense_rank() OVER (ORDER BY new_key) AS BIGINT) AS o_custkey, o_totalprice, o_orderkey AS old_o_orderkey
+FROM orders JOIN parents ON o_custkey = c_custkey""")
+def reorder_children(spark, folder):
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    keys = numbering.key_map(numbering.renumber(customers, "c_custkey", ["c_name"]), "c_custkey")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return numbering.reorder_children(orders, keys, "o_custkey", "o_orderkey")
+
+
 @query("""WITH firsts AS (SELECT o_custkey, min((o_orderdate, o_orderkey)) AS f FROM orders GROUP BY o_custkey),
      numbered AS (SELECT o_custkey, CAST(row_number() OVER (ORDER BY f) AS BIGINT) AS group_id FROM firsts)
 SELECT o_orderkey, o_custkey, group_id FROM orders JOIN numbered USING (o_custkey)""")

@@ -10,6 +10,7 @@ STEM_PARTS = r"^([^~]*)~(\d+\.\d+)$"
 LAST_EXTENSION = r"(?<=.)\.[^.]+$"
 REPORT_NAME = "%s_STAGE%s_%s.%s"
 ERROR_STATUS = "STAGE %s ERROR"
+SUCCESS_MESSAGE = "Stage %s data pipeline for file %s, targetting table %s is complete.\nRecon summary:\n%s"
 UNKNOWN = "<UNKNOWN>"
 ERROR_MESSAGE = (
     "Stage %s data pipeline for file %s is failing at job %s with error:\n[%s] %s.\n\n"
@@ -50,5 +51,9 @@ def error_status(stage: Column) -> Column:
     return F.format_string(ERROR_STATUS, stage.cast("string"))
 
 
+def success_message(stage: Column, file_name: Column, table: Column, summary: Column) -> Column:
+    return F.format_string(SUCCESS_MESSAGE, stage.cast("string"), file_name, table, summary)
+
+
 def error_message(stage: Column, file_name: Column, job: Column, kind: Column, cause: Column) -> Column:
     return F.format_string(ERROR_MESSAGE, stage.cast("string"), file_name, job, kind, cause)

@@ -10,6 +10,7 @@ carry has at most one row per slot and may be broadcast at any data size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,9 +18,18 @@ from stagecheck.functions.money import MONEY, floor2
 from stagecheck.operators.numbering import POSITION, SLOT, in_slots
 from stagecheck.storage import pin
 
+# Running values are whole cents: adding up longs is several times faster than wide decimals.
 _SUM, _LOW_BEFORE = "_running_sum", "_low_before"
 
 
+def _cents(value: Column) -> Column:
+    return (value.cast(MONEY) * F.lit(100)).cast("bigint")
+
+
+def _money(cents: Column) -> Column:
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
+
+
 def order_totals(
     items: DataFrame, order: str, price: Column, quantity: Column, name: str = "total",
 ) -> DataFrame:
@@ -36,37 +46,49 @@ def price_items(items: DataFrame, products: DataFrame, fk: str, pk: str, price:
 def running_sum(
     df: DataFrame, key: str, order: Sequence[str], change: Column, num_partitions: int | None = None,
 ) -> DataFrame:
-    """Adds the running sum of ``change`` per key, and the lowest running sum of the rows before.
+    """Adds the running sum of ``change`` per key, and the lowest running sum of the rows before, in cents.
 
     ``order`` must tell the rows of one key apart.
     """
     in_slot = Window.partitionBy(SLOT, key).orderBy(POSITION)
     up_to_here = in_slot.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before_here = in_slot.rowsBetween(Window.unboundedPreceding, -1)
-    changed = df.withColumn("_change", change.cast(MONEY))
+    changed = df.withColumn("_change", _cents(change))
     local = pin(
-        in_slots(changed, [key, *order], num_partitions=num_partitions)
-        .withColumn(_SUM, F.sum("_change").over(up_to_here).cast(MONEY))
+        in_slots(changed, [key, *order], tie_break=(), num_partitions=num_partitions)
+        .withColumn(_SUM, F.sum("_change").over(up_to_here))
         .withColumn(_LOW_BEFORE, F.min(_SUM).over(before_here))
-        .drop(POSITION),
+        .drop("_change"),
         "ledger",
     )
-
-    earlier_slots = Window.partitionBy(key).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        local.groupBy(key, SLOT).agg(F.sum("_change").alias("_total"), F.min(_SUM).alias("_lowest"))
-        .withColumn("_base", F.sum("_total").over(earlier_slots))
-        .withColumn("_base_low", F.min(F.coalesce("_base", F.lit(0)) + F.col("_lowest")).over(earlier_slots))
-        .filter(F.col("_base").isNotNull())
-        .select(F.col(key).alias("_key"), F.col(SLOT).alias("_in_slot"), "_base", "_base_low")
-    )
+    carry = _carry(local, key)
     same = (local[SLOT] == F.col("_in_slot")) & local[key].eqNullSafe(F.col("_key"))
     base = F.coalesce("_base", F.lit(0))
     return (
         local.join(F.broadcast(carry), same, "left")
-        .withColumn(_LOW_BEFORE, F.least("_base_low", base + F.col(_LOW_BEFORE)).cast(MONEY))
-        .withColumn(_SUM, (base + F.col(_SUM)).cast(MONEY))
-        .drop(SLOT, "_change", "_key", "_in_slot", "_base", "_base_low")
+        .withColumn(_LOW_BEFORE, F.least("_base_low", base + F.col(_LOW_BEFORE)))
+        .withColumn(_SUM, base + F.col(_SUM))
+        .drop(SLOT, POSITION, *carry.columns)
+    )
+
+
+def _carry(local: DataFrame, key: str) -> DataFrame:
+    """What a slot takes over for the key its predecessor ended with: one row per slot at most.
+
+    A key that goes on into the next slot is the last of its own, so the last row of every
+    slot tells all there is to carry.
+    """
+    ends = local.groupBy(SLOT).agg(F.max(POSITION).alias(POSITION))
+    last_rows = local.join(F.broadcast(ends), [SLOT, POSITION], "left_semi").select(
+        F.col(key).alias("_key"), SLOT, F.col(_SUM).alias("_total"), F.least(_LOW_BEFORE, _SUM).alias("_lowest"))
+    of_key = Window.partitionBy("_key").orderBy(SLOT)
+    so_far = of_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        last_rows
+        .withColumn("_base", F.sum("_total").over(so_far))
+        .withColumn("_base_low", F.min(F.col("_base") - F.col("_total") + F.col("_lowest")).over(so_far))
+        .withColumn("_in_slot", F.lead(SLOT).over(Window.orderBy(SLOT)))
+        .select("_key", "_in_slot", "_base", "_base_low")
     )
 
 
@@ -75,7 +97,7 @@ def points_ledger(
 ) -> DataFrame:
     """Balance after each order: everything gained minus everything used so far."""
     summed = running_sum(df, customer, order, F.col(gained) - F.col(used))
-    return summed.withColumnRenamed(_SUM, name).drop(_LOW_BEFORE)
+    return summed.withColumn(name, _money(F.col(_SUM))).drop(_SUM, _LOW_BEFORE)
 
 
 def spend_points(
@@ -90,14 +112,13 @@ def spend_points(
     row-by-row state is needed; the use falls short of the total by as much as the order
     pushes that lowest value down.
     """
-    zero = F.lit(0).cast(MONEY)
-    wanted = F.when(F.col(spends), F.col(total)).otherwise(zero)
+    wanted = F.when(F.col(spends), F.col(total)).otherwise(F.lit(0).cast(MONEY))
     summed = running_sum(df, customer, order, F.col(gained) - wanted)
-    low_before = F.least(F.col(_LOW_BEFORE), zero)
+    low_before = F.least(F.col(_LOW_BEFORE), F.lit(0))
     low_here = F.least(low_before, F.col(_SUM))
     return (
-        summed.withColumn(name, (F.col(_SUM) - low_here).cast(MONEY))
-        .withColumn(used_name, (wanted - (low_before - low_here)).cast(MONEY))
+        summed.withColumn(name, _money(F.col(_SUM) - low_here))
+        .withColumn(used_name, _money(_cents(wanted) - (low_before - low_here)))
         .drop(_SUM, _LOW_BEFORE)
     )
 

@@ -25,16 +25,18 @@ def _columns(columns: Sequence[str | Column]) -> list[Column]:
 
 
 def in_slots(
-    df: DataFrame, order: Sequence[str | Column], tie_break: Sequence[str | Column] = (),
+    df: DataFrame, order: Sequence[str | Column], tie_break: Sequence[str | Column] | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Range-partition and sort ``df`` by ``order``; adds the slot and the position in it.
 
-    Equal rows are told apart last by a running id, so that a large group with the same
-    order values, even of exact copies, still spreads over slots. The result must be pinned
-    before it is read twice, because range bounds are drawn from a sample.
+    Rows of equal order are told apart by ``tie_break``, by default a hash of the whole row,
+    and exact copies by a running id, so that a large group with the same order values still
+    spreads over slots. The result must be pinned before it is read twice, because range
+    bounds are drawn from a sample.
     """
-    ties = _columns(tie_break) or [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    whole_row = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    ties = whole_row if tie_break is None else _columns(tie_break)
     by = _columns(order) + ties + [F.col(COPY)]
     tagged = df.withColumn(COPY, F.monotonically_increasing_id())
     ranged = tagged.repartitionByRange(num_partitions, *by) if num_partitions else tagged.repartitionByRange(*by)
@@ -48,7 +50,7 @@ def in_slots(
 
 def number_rows(
     df: DataFrame, order: Sequence[str | Column], start: int = 0, name: str = "id",
-    tie_break: Sequence[str | Column] = (), num_partitions: int | None = None,
+    tie_break: Sequence[str | Column] | None = None, num_partitions: int | None = None,
 ) -> DataFrame:
     """Dense numbers ``start, start+1, …`` in the given order, in column ``name``."""
     slotted = pin(in_slots(df, order, tie_break, num_partitions), "numbered")
@@ -98,6 +100,19 @@ def number_groups(
     return df.join(keys, df[group].eqNullSafe(keys["_group"]), "left").drop("_group")
 
 
+def reorder_children(child: DataFrame, keys: DataFrame, fk: str, key: str) -> DataFrame:
+    """Number children in the order of their renumbered parents, old key as ``old_<key>``.
+
+    ``fk`` becomes the place of the parent among the parents that have children. Children
+    without a known parent are left out.
+    """
+    mapped = remap_fk(child, keys, fk).filter(F.col(fk).isNotNull()).withColumnRenamed(key, f"old_{key}")
+    parents = number_rows(mapped.select(fk).distinct(), [fk], start=1, name="_parent", tie_break=())
+    placed = mapped.join(parents, fk).withColumn(fk, F.col("_parent")).drop("_parent")
+    numbered = number_rows(placed, [fk, f"old_{key}"], start=1, name=key)
+    return numbered.select(*child.columns, f"old_{key}")
+
+
 def shuffle_rows(df: DataFrame, key: str, seed: int | str, name: str = "id", start: int = 1) -> DataFrame:
     """A repeatable random permutation with new dense numbers, the old key as ``old_<key>``."""
     kept = df.withColumnRenamed(key, f"old_{key}")

@@ -25,6 +25,11 @@ def read_final(spark: SparkSession, root: str, spec: TableSpec, origin_file: str
     return df if origin_file is None else df.filter(F.col(names.ORIGIN_FILE) == F.lit(origin_file))
 
 
+def query_frames(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """Result of a SQL text over frames named in it as ``{name}``; no view is left behind."""
+    return spark.sql(sql, **frames)
+
+
 def mysql_connection(details: Mapping[str, str | int]) -> tuple[str, dict[str, str]]:
     """JDBC address and properties from hostname, port, schema, username and password."""
     url = (

@@ -73,7 +73,10 @@ def test_messages(spark):
     df = spark.createDataFrame([("T~1.2.csv", 2)], "f string, s int")
     row = df.select(
         text.report_name(F.col("f"), F.col("s"), F.lit("RECON1")), text.error_status(F.col("s")),
-        text.error_message(F.col("s"), F.col("f"), F.lit("job"), F.lit("Kind"), F.lit("cause"))).first()
+        text.error_message(F.col("s"), F.col("f"), F.lit("job"), F.lit("Kind"), F.lit("cause")),
+        text.success_message(F.col("s"), F.col("f"), F.lit("T"), F.lit("STAGE 2 - [x]"))).first()
+    assert row[3] == (
+        "Stage 2 data pipeline for file T~1.2.csv, targetting table T is complete.\nRecon summary:\nSTAGE 2 - [x]")
     assert row[0] == "T~1.2_STAGE2_RECON1.csv"
     assert row[1] == "STAGE 2 ERROR"
     assert row[2].startswith("Stage 2 data pipeline for file T~1.2.csv is failing at job job with error:\n[Kind] cause.")

@@ -54,3 +54,10 @@ def test_shuffle_is_a_repeatable_permutation(spark):
     assert sorted(once) == sorted(again)
     assert sorted(r.id for r in once) == list(range(1, 201))
     assert [r.old_id for r in sorted(once)] != list(range(200))
+
+
+def test_reorder_children(spark):
+    keys = spark.createDataFrame([(10, 3), (20, 1), (30, 2)], "old_key int, new_key int")
+    child = spark.createDataFrame([(1, 10), (2, 20), (3, 10), (4, 99)], "id int, fk int")
+    got = sorted(map(tuple, numbering.reorder_children(child, keys, "fk", "id").collect()))
+    assert got == [(1, 1, 2), (2, 2, 1), (3, 2, 3)]

@@ -330,7 +330,9 @@ def recon1_items_summary(spark, folder):
     return matching.recon_summary(staged, names.PRE_FILE_HASH, names.STAGED_HASH)
 
 
-_ITEM_ORDER = "CAST(order_id AS BIGINT), CAST(line AS BIGINT), CAST(part AS BIGINT), CAST(supplier AS BIGINT), file_hash, staged_hash"
+_ITEM_ORDER = (
+    "CAST(order_id AS BIGINT), CAST(line AS BIGINT), CAST(part AS BIGINT), CAST(supplier AS BIGINT), "
+    "file_hash, quantity, price, flag, staged_hash, pre_quantity, pre_price, pre_flag")
 
 
 @query(ITEM_SQL + """, joined AS (

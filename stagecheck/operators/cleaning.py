@@ -58,13 +58,15 @@ def explode_list(
     A NULL list gives no row and a blank list one row with a NULL element. With ``id_name``
     rows get dense ids from 0 in order of key and position.
     """
-    items = df.select(
-        F.col(key).alias(key_name),
-        F.posexplode(text.split_trim(F.col(list_column), separator)).alias("_at", item_name),
-    ).withColumn(item_name, F.nullif(F.col(item_name), F.lit("")))
+    lists = df.select(F.col(key).alias(key_name), F.col(list_column).alias("_list"))
+
+    def explode(rows: DataFrame) -> DataFrame:
+        items = rows.select(key_name, F.explode(text.split_trim(F.col("_list"), separator)).alias(item_name))
+        return items.withColumn(item_name, F.nullif(F.col(item_name), F.lit("")))
+
     if id_name is None:
-        return items.drop("_at")
-    return number_rows(items, [key_name, "_at"], name=id_name).drop("_at")
+        return explode(lists)
+    return number_rows(lists, [key_name], name=id_name, expand=explode)
 
 
 for _step in (blank_to_default, blank_to_null, null_to_default, parse_and_shift, derive, with_now, with_uuid):

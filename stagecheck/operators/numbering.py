@@ -8,7 +8,7 @@ meet in one place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,23 +26,26 @@ def _columns(columns: Sequence[str | Column]) -> list[Column]:
 
 def in_slots(
     df: DataFrame, order: Sequence[str | Column], tie_break: Sequence[str | Column] | None = None,
-    num_partitions: int | None = None,
+    num_partitions: int | None = None, expand: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Range-partition and sort ``df`` by ``order``; adds the slot and the position in it.
 
     Rows of equal order are told apart by ``tie_break``, by default a hash of the whole row,
     and exact copies by a running id, so that a large group with the same order values still
-    spreads over slots. The result must be pinned before it is read twice, because range
-    bounds are drawn from a sample.
+    spreads over slots. ``expand`` may turn each sorted row into several, as an explode does,
+    before positions are given. The result must be pinned before it is read twice, because
+    range bounds are drawn from a sample.
     """
     whole_row = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     ties = whole_row if tie_break is None else _columns(tie_break)
     by = _columns(order) + ties + [F.col(COPY)]
     tagged = df.withColumn(COPY, F.monotonically_increasing_id())
     ranged = tagged.repartitionByRange(num_partitions, *by) if num_partitions else tagged.repartitionByRange(*by)
+    in_order = ranged.sortWithinPartitions(*by)
+    if expand:
+        in_order = expand(in_order)
     return (
-        ranged.sortWithinPartitions(*by)
-        .withColumn(SLOT, F.spark_partition_id())
+        in_order.withColumn(SLOT, F.spark_partition_id())
         .withColumn(POSITION, F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)))
         .drop(COPY)
     )
@@ -51,9 +54,13 @@ def in_slots(
 def number_rows(
     df: DataFrame, order: Sequence[str | Column], start: int = 0, name: str = "id",
     tie_break: Sequence[str | Column] | None = None, num_partitions: int | None = None,
+    expand: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Dense numbers ``start, start+1, …`` in the given order, in column ``name``."""
-    slotted = pin(in_slots(df, order, tie_break, num_partitions), "numbered")
+    """Dense numbers ``start, start+1, …`` in the given order, in column ``name``.
+
+    With ``expand`` the numbers go to the rows it makes of each ordered row, in their order.
+    """
+    slotted = pin(in_slots(df, order, tie_break, num_partitions, expand), "numbered")
     before = Window.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = slotted.groupBy(SLOT).count().select(
         SLOT, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"),

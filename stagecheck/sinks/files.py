@@ -13,8 +13,12 @@ from stagecheck.operators.reports import REPORT_ORDER
 from stagecheck.sources.files import FILE_ORDER, file_manifest, read_flat_file
 from stagecheck.storage import delete_path
 
-# Blank cells are written as nothing at all, quotes inside a cell are doubled.
-WRITE_OPTIONS = {"header": True, "escape": '"', "emptyValue": ""}
+# Blank cells are written as nothing at all, quotes inside a cell are doubled, and outer
+# spaces, which Spark would cut off by default, are kept.
+WRITE_OPTIONS = {
+    "header": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 # Codecs Spark's delimited writer accepts.
 CODECS = ("gzip", "bzip2", "snappy", "lz4", "deflate")

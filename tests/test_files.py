@@ -1,4 +1,5 @@
 import pathlib
+import random
 
 import pytest
 
@@ -102,3 +103,12 @@ def test_jdbc(spark):
     assert props == {"user": "u", "password": "p", "driver": "com.mysql.cj.jdbc.Driver", "ssl": "false"}
     with pytest.raises(RuntimeError, match="reading"):
         tables.read_jdbc(spark, url, "(SELECT 1) t", props)
+
+
+def test_any_text_survives(spark, tmp_path):
+    draw = random.Random(5)
+    pieces = ['"', ",", "\n", "\r", "\\", " ", "a", "é", "#", "\t", "'", '""', "\r\n"]
+    rows = [(str(i), "".join(draw.choice(pieces) for _ in range(draw.randint(0, 6)))) for i in range(500)]
+    spark.createDataFrame(rows, "id string, v string").write.options(**sinks.WRITE_OPTIONS).csv(str(tmp_path / "t"))
+    back = sources.read_flat_file(spark, str(tmp_path / "t"), ["id", "v"], multi_line=True)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)

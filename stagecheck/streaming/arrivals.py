@@ -32,7 +32,7 @@ def load_arrivals(
         spark.readStream.option("header", True).option("escape", '"')
         .option("maxFilesPerTrigger", files_per_batch)
         .schema(", ".join(f"`{c}` string" for c in columns)).csv(folder)
-        .withColumn(names.PRE_ORIGIN_FILE, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+        .withColumn(names.PRE_ORIGIN_FILE, F.col("_metadata.file_name"))
         .fillna("")
     )
 

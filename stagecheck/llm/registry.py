@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagecheck.llm import pieces
+from stagecheck.llm import language, pieces, quality, sharding, tiling, urls
 from stagecheck.llm.common import table
 
 
@@ -14,8 +14,78 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), spans=False)
 
 
+#: (host, path, verdict) of the URL rules.
+URL_RULES = (
+    ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
+)
+SHARD_BYTES = 64 << 20
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS rules(host, path, verdict)")
+    return urls.apply_rules(table(spark, sf_dir, "pages"), rules)
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn_languages(docs.where(~language.held_out()))
+    return predicted(docs, model)
+
+
+def predicted(docs: DataFrame, model: language.LanguageModel | None) -> DataFrame:
+    return language.predict_languages(docs, model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_quality": op3_quality,
+    "op4_url_filter": op4_url_filter,
+    "op5_language": op5_language,
+    "op9_sharding": op9_sharding,
+    "op10_decontamination": op10_decontamination,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+_FITS = " UNION ALL ".join(
+    f"""SELECT page_id, '{host}{path}' AS rule, '{verdict}' AS verdict FROM parts
+    WHERE (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"""
+    for host, path, verdict in URL_RULES)
+
+LLM_ORACLES: dict[str, str] = {
+    "op4_url_filter": f"""
+        WITH parts AS (
+            SELECT page_id,
+                translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{urls.UPPER}', '{urls.LOWER}') AS host,
+                coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages),
+        fits AS ({_FITS}),
+        best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fits GROUP BY page_id)
+        SELECT parts.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM parts LEFT JOIN best USING (page_id)""",
+    "op9_sharding": f"""
+        WITH RECURSIVE hashed AS (
+            SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash,
+                coalesce(strlen(text), 0)::BIGINT AS n_bytes
+            FROM documents),
+        sizes AS (
+            SELECT depth::INTEGER AS depth, hash >> (60 - depth)::INTEGER AS prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+            FROM hashed, range(0, 21) AS depths(depth) GROUP BY ALL HAVING sum(n_bytes) <= {SHARD_BYTES}),
+        leaf AS (
+            SELECT doc_id, hash, n_bytes, min(depth) AS depth
+            FROM hashed JOIN sizes ON sizes.prefix = hash >> (60 - depth)::INTEGER GROUP BY ALL)
+        SELECT doc_id, 'b' || CASE WHEN depth > 0 THEN lpad(bin(prefix), depth, '0') ELSE '' END AS shard, depth, 0::BIGINT AS page,
+            n_bytes, shard_bytes, shard_rows, false AS oversized
+        FROM leaf JOIN sizes USING (depth) WHERE prefix = hash >> (60 - depth)::INTEGER""",
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagecheck.llm import language, pieces, quality, sharding, tiling, urls
+from stagecheck.llm import language, pieces, privacy, quality, sharding, tiling, urls
 from stagecheck.llm.common import table
 
 
@@ -41,6 +41,10 @@ def predicted(docs: DataFrame, model: language.LanguageModel | None) -> DataFram
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.find_private(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -54,6 +58,7 @@ LLM_QUERIES = {
     "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
     "op5_language": op5_language,
+    "op8_private_data": op8_private_data,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
 }

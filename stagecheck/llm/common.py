@@ -48,3 +48,27 @@ def texts_of(batch: pa.RecordBatch, name: str) -> Iterator[str]:
     column = batch.column(batch.schema.get_field_index(name))
     for value in column:
         yield value.as_py() or ""
+
+
+SIEVE_BITS = 1 << 27
+
+
+def sieve(values: DataFrame, column: str):
+    """A broadcast bitmap of 16 MB, whatever ``values`` (a column of longs) hold; ``passes`` reads it.
+
+    It spares a shuffle rows that a later join would drop; what it lets through by chance
+    the join still drops. The fuller it gets, the less it spares.
+    """
+    at = F.pmod(F.col(column), F.lit(SIEVE_BITS)) + 1
+    parts = values.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bits = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for row in parts.toLocalIterator():
+        start = (row.part - 1) * len(row.bits)
+        bits[start : start + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return values.sparkSession.sparkContext.broadcast(bits)
+
+
+def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the signed 64-bit ``values`` may be in the sieve."""
+    at = values % SIEVE_BITS
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagecheck.llm import language, pieces, privacy, quality, sharding, tiling, urls
+from stagecheck.llm import language, neardup, pieces, privacy, quality, repeats, sharding, tiling, urls
 from stagecheck.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), spans=False)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 #: (host, path, verdict) of the URL rules.
 URL_RULES = (
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
@@ -41,6 +45,10 @@ def predicted(docs: DataFrame, model: language.LanguageModel | None) -> DataFram
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size")
+
+
 def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.find_private(table(spark, sf_dir, "documents"))
 
@@ -55,9 +63,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_repeats": op2_repeats,
     "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
     "op5_language": op5_language,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_private_data": op8_private_data,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,

@@ -212,7 +212,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    members = settle(members.join(shared.select("bucket"), "bucket").withColumn("led", F.lit(False)), "bag-members")
+    members = settle(members.join(shared.select("bucket"), "bucket"), "bag-members")
     texts = settle(_texts_of_nodes(df, rows, members.select("node").distinct(), text, key), "bag-texts")
     links = roots = None
     while True:
@@ -226,9 +226,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
         found = settle(_verified(pairs, texts, similarity), "bag-links")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
-        now = leaders.select("bucket", "node", F.lit(True).alias("now"))
-        members = placed.drop("root").join(now, ["bucket", "node"], "left").select(
-            "bucket", "node", (F.col("led") | F.coalesce("now", F.lit(False))).alias("led"))
+        members = placed.select("bucket", "node").join(leaders.select("bucket", "node"), ["bucket", "node"], "left_anti")
     own = rows.withColumn("root", F.col("node")) if roots is None else rows.join(
         roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = own.groupBy("root").agg(F.min(key).alias("group_id"), F.count("*").alias("group_size"))
@@ -243,14 +241,12 @@ def _texts_of_nodes(df: DataFrame, rows: DataFrame, nodes: DataFrame, text: str,
 
 
 def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members, with their components, of the buckets that still hold a pair neither compared nor linked."""
+    """Members that have not led yet, with their components, of the buckets where these are of more than one component."""
     if roots is None:
         return members.withColumn("root", F.col("node"))
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    unled = F.sum(F.when(F.col("led"), 0).otherwise(1))
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"), unled.alias("unled"))
-    open_ = open_.where((F.col("first") != F.col("last")) & (F.col("unled") > 1))
-    return placed.join(open_.select("bucket"), "bucket")
+    open_ = placed.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"))
+    return placed.join(open_.where(F.col("first") != F.col("last")).select("bucket"), "bucket")
 
 
 def _leaders(placed: DataFrame, first: bool) -> DataFrame:
@@ -263,6 +259,6 @@ def _leaders(placed: DataFrame, first: bool) -> DataFrame:
         return placed.groupBy("bucket").agg(F.min("node").alias("node")).withColumn("root", F.col("node"))
     sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-    outside = placed.where(~F.col("led")).join(largest, "bucket").where(F.col("root") != F.col("largest"))
+    outside = placed.join(largest, "bucket").where(F.col("root") != F.col("largest"))
     lane = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
     return outside.groupBy("bucket", lane.alias("lane")).agg(F.min(F.struct("node", "root")).alias("l")).select("bucket", "l.*")

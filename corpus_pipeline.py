@@ -3,24 +3,52 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stagecheck.llm import pieces
+from stagecheck.llm import language, neardup, pieces, privacy, tiling
 from stagecheck.llm.common import settle, table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; the model learns from the labelled three fourths."""
+    model = language.learn_languages(docs.where(~language.held_out()))
+    return language.predict_languages(docs, model, keep=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the least id."""
+    return neardup.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    found = tiling.find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    return found.where(~F.col("contaminated")).select(*docs.columns)
+
+
+def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and disclosing terms replaced."""
+    others = [c for c in docs.columns if c != "text"]
+    found = privacy.find_private(docs, keep=others, with_text=True).withColumn("text", F.col("sanitised"))
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and byte spans of every kept document."""
+    """Token ids and byte spans of every document that is left."""
     return pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("language", known_language), ("near-duplicates", one_of_each), ("decontamination", without_benchmark),
+    ("private-data", without_private_data), ("encode", encode),
+]
 
-#: Trained and learned stages, which SQL cannot express.
+#: Learned and hashed stages, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``, each to the written result of the one before."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")

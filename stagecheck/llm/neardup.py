@@ -207,7 +207,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """``key``, text_key, node, group_id (the least key of the group) and group_size for every row."""
+    """``key``, text_key, rid, root (of the group), group_id (its least key) and group_size for every row."""
     rows = settle(signed(df, text, (key,)).withColumn("rid", F.xxhash64(key)), "bag-rows")
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     members = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -230,7 +230,16 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
     own = rows.withColumn("root", F.col("node")) if roots is None else rows.join(
         roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = own.groupBy("root").agg(F.min(key).alias("group_id"), F.count("*").alias("group_size"))
-    return own.join(groups, "root").select(key, "text_key", "node", "group_id", "group_size")
+    return own.join(groups, "root").select(key, "text_key", "rid", "root", "group_id", "group_size")
+
+
+def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """``df`` with one row of each group of near-duplicates, that of the least key; all its columns stay."""
+    groups = near_duplicates(df, text, key, similarity)
+    kept = groups.groupBy("root").agg(F.min(F.struct(key, "text_key", "rid")).alias("k")).select(
+        F.col("k.text_key").alias("_text_key"), F.col("k.rid").alias("_rid"))
+    named = df.select("*", text_key(text).alias("_text_key"), F.xxhash64(key).alias("_rid"))
+    return named.join(kept, ["_text_key", "_rid"]).dropDuplicates(["_text_key", "_rid"]).select(*df.columns)
 
 
 def _texts_of_nodes(df: DataFrame, rows: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:

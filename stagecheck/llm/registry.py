@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stagecheck.llm import language, neardup, pieces, privacy, quality, repeats, sharding, tiling, urls
+from stagecheck.llm import language, licenses, neardup, pieces, privacy, quality, repeats, sharding, tiling, urls
 from stagecheck.llm.common import table
 
 
@@ -45,6 +45,10 @@ def predicted(docs: DataFrame, model: language.LanguageModel | None) -> DataFram
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size")
 
@@ -67,6 +71,7 @@ LLM_QUERIES = {
     "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
     "op5_language": op5_language,
+    "op6_licenses": op6_licenses,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_private_data": op8_private_data,
     "op9_sharding": op9_sharding,

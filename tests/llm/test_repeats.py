@@ -1,0 +1,60 @@
+"""Repeat removal against brute force."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from stagecheck.llm import repeats
+
+
+def brute(texts):
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + 200] for b in raw for i in range(len(b) - 199))
+    out = []
+    for b in raw:
+        gone = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if seen[b[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans = sum(1 for i in range(len(gone)) if gone[i] and not (i and gone[i - 1]))
+        out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def corpus():
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefé", k=draw.randint(1, 9))) for _ in range(300)]
+    text = lambda n: " ".join(draw.choices(words, k=n))
+    passages = [text(60) for _ in range(6)]
+    texts = [None, "", "a" * 150, "a" * 500, "ab" * 400, "x" * 199 + "y" + "x" * 199, text(80)]
+    for _ in range(120):
+        body = text(draw.randint(5, 200))
+        for _ in range(draw.randint(0, 3)):
+            cut, at = draw.randint(0, 80), draw.randint(0, len(body))
+            body = body[:at] + draw.choice(passages)[cut : cut + draw.randint(150, 320)] + body[at:]
+        texts.append(body)
+    return texts + [texts[10], texts[10], texts[20][:300] + "Q" + texts[20][301:]]
+
+
+@pytest.mark.parametrize("setting", [{}, {"GROUP": 1}, {"PIECE": 300}], ids=["plain", "by-start", "small-pieces"])
+def test_equals_brute_force(spark, monkeypatch, setting):
+    for name, value in setting.items():
+        monkeypatch.setattr(repeats, name, value)
+    texts = corpus()
+    df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, key int")
+    got = {r.doc_id: tuple(r)[1:] for r in repeats.remove_repeats(df).collect()}
+    assert got == dict(enumerate(brute(texts)))
+
+
+def test_repeated_rows_and_null_ids(spark):
+    text = "".join(random.Random(5).choices("abcdefgh ", k=260))
+    df = spark.createDataFrame([(1, text), (1, text), (None, text[:150]), (None, None)], "doc_id long, text string")
+    rows = sorted(repeats.remove_repeats(df).collect(), key=lambda r: r.n_bytes)
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in rows] == [(0, 0, 0), (150, 0, 0), (260, 260, 1), (260, 260, 1)]
+
+
+def test_empty_table(spark):
+    assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0

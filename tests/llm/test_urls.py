@@ -1,0 +1,46 @@
+"""URL rules against brute force."""
+
+import random
+
+from stagecheck.llm.urls import apply_rules, url_host, url_path
+from pyspark.sql import functions as F
+
+
+def brute(url, rules):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.index(c) for c in "/?#" if c in rest] or [len(rest)])
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+        path = rest[cut:]
+        path = path[: min([path.index(c) for c in "?#" if c in path] or [len(path)])]
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=(0, 0, None, "allow"))
+    return host, path, best[2], best[3]
+
+
+def test_random_urls_and_rules(spark):
+    draw = random.Random(2)
+    labels, parts = ["a", "b", "ab", "net", "x-y"], ["", "/", "/a", "/a/", "/ab/c", "/é"]
+    name = lambda: ".".join(draw.choices(labels, k=draw.randint(1, 4)))
+    rules = {(name(), draw.choice(parts)): draw.choice(["allow", "block"]) for _ in range(60)}
+    rules = [(h, p, v) for (h, p), v in rules.items()]
+    urls = [None, "", "no scheme", "://", "http://", "HTTP://A.NET?x/y", "x://a.net#/", "http://É.net/a", "a://b://c/d"]
+    urls += [f"http://{name()}{draw.choice(parts)}{draw.choice(parts)}{draw.choice(['', '?q', '#f'])}" for _ in range(500)]
+    pages = spark.createDataFrame([(i, u, "h", "k") for i, u in enumerate(urls)], "page_id long, url string, host string, key string")
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = {r.page_id: tuple(r)[1:] for r in apply_rules(pages, table).collect()}
+    assert got == {i: brute(u, rules) for i, u in enumerate(urls)}
+    assert apply_rules(pages, table.where(F.lit(False))).where("rule IS NOT NULL").count() == 0
+    assert apply_rules(pages.where(F.lit(False)), table).count() == 0
+
+
+def test_repeated_rules_block(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x")], "page_id long, url string")
+    rules = spark.createDataFrame([("net", "/", "allow"), ("net", "/", "block")], "host string, path string, verdict string")
+    assert [r.verdict for r in apply_rules(pages, rules).collect()] == ["block", "block"]
+
+
+def test_parts(spark):
+    df = spark.createDataFrame([("http://U@H.Net:80/p/q?r#s",)], "url string")
+    assert tuple(df.select(url_host(F.col("url")), url_path(F.col("url"))).first()) == ("u@h.net:80", "/p/q")

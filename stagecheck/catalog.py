@@ -104,6 +104,7 @@ def customer_staged(spark: SparkSession, folder: str) -> DataFrame:
         .filter(~((F.col("nation") == "7") & (F.col("segment") == "BUILDING")))
         .withColumn("segment", F.when(balance < 0, "CHANGED").otherwise(F.col("segment")))
         .withColumn("name", F.when(~((F.col("nation") == "5") & (balance > 8000)), F.col("name")))
+        .withColumn(names.FILE_HASH, F.when((F.col("nation") == "11") & (balance > 4000), "DAMAGED").otherwise(F.col(names.FILE_HASH)))
     )
     return mapping.coerce_declared(load.run_staging(faulty, CUSTOMER, CUSTOMER_FILE), CUSTOMER.staged_columns)
 
@@ -119,7 +120,8 @@ WITH file AS (
          CASE WHEN NOT (c_nationkey = 5 AND c_acctbal > 8000) THEN c_name END AS pre_name,
          c_nationkey AS pre_nation, CAST(c_acctbal AS DECIMAL(10,2)) AS pre_balance,
          CASE WHEN c_acctbal < 0 THEN 'CHANGED' ELSE c_mktsegment END AS pre_segment,
-         file_hash AS pre_file_hash, '{CUSTOMER_FILE}' AS pre_origin_file
+         CASE WHEN c_nationkey = 11 AND c_acctbal > 4000 THEN 'DAMAGED' ELSE file_hash END AS pre_file_hash,
+         '{CUSTOMER_FILE}' AS pre_origin_file
   FROM customer JOIN file ON CAST(c_custkey AS VARCHAR) = id
   WHERE NOT (c_nationkey = 7 AND c_mktsegment = 'BUILDING')
 ), staged AS (
@@ -223,9 +225,12 @@ SELECT 'PASSED', CAST(count(*) AS BIGINT) FROM {source} WHERE {left} = {right} H
 
 def detail_sql(
     joined: str, pairs: list[tuple[str, str]], left: tuple[str, str, list[str]], right: tuple[str, str, list[str]],
-    order: str,
+    order: str, carried: str | None = None,
 ) -> str:
-    """SQL of a detail report; each side is (source name, hash column, unmapped columns)."""
+    """SQL of a complete detail report; each side is (source name, hash column, unmapped columns).
+
+    ``carried`` is the hash the outcome compares with the right one, by default the left one.
+    """
     def line(number: int, this: tuple, pick: int, other: tuple) -> str:
         cells = [f"CAST({p[pick]} AS VARCHAR) AS \"{p[0]} <> {p[1]}\"" for p in pairs]
         for side in (left, right):
@@ -240,12 +245,10 @@ def detail_sql(
 
     return f"""
 , labelled AS (
-  SELECT *, CASE WHEN {left[1]} = {right[1]} THEN 'PASSED' ELSE 'FAILED' END AS reconciliation_outcome FROM {joined}
-), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY reconciliation_outcome ORDER BY {order}) AS INTEGER) AS record
-  FROM labelled
+  SELECT *, CASE WHEN {carried or left[1]} = {right[1]} THEN 'PASSED' ELSE 'FAILED' END AS reconciliation_outcome FROM {joined}
 ), sampled AS (
-  SELECT * FROM ranked WHERE record <= CASE WHEN reconciliation_outcome = 'FAILED' THEN 1000 ELSE 100 END
+  SELECT *, row_number() OVER (PARTITION BY reconciliation_outcome ORDER BY {order}) AS record
+  FROM labelled
 )
 {line(0, left, 0, right)} UNION ALL {line(1, right, 1, left)}"""
 
@@ -319,7 +322,8 @@ def match_file_to_staged(spark, folder):
 @query(CUSTOMER_SQL + ", joined AS (SELECT * FROM file LEFT JOIN staged ON CAST(id AS BIGINT) = pre_id)" + detail_sql(
     "joined", [(c, f"pre_{c}") for c in ("id", "name", "nation", "balance", "segment")],
     ("data_file", "file_hash", ["file_hash"]),
-    ("preliminary_table", "staged_hash", ["pre_file_hash", "pre_origin_file", "staged_hash"]), "CAST(id AS BIGINT)"))
+    ("preliminary_table", "staged_hash", ["pre_file_hash", "pre_origin_file", "staged_hash"]), "CAST(id AS BIGINT)",
+    "pre_file_hash"))
 def recon1_detail(spark, folder):
     return reports.recon1_detail(customer_file(spark, folder), customer_staged(spark, folder), CUSTOMER)
 
@@ -335,11 +339,20 @@ _ITEM_ORDER = (
     "file_hash, quantity, price, flag, staged_hash, pre_quantity, pre_price, pre_flag")
 
 
-@query(ITEM_SQL + """, joined AS (
-  SELECT * FROM file LEFT JOIN staged ON CAST(order_id AS BIGINT) = pre_order_id AND CAST(line AS INTEGER) = pre_line
-    AND CAST(part AS BIGINT) = pre_part AND CAST(supplier AS BIGINT) = pre_supplier)""" + detail_sql(
+# Rows of a key that repeats on both sides meet by position; the shorter side starts over.
+@query(ITEM_SQL + """, lefts AS (
+  SELECT *, count(*) OVER k AS m, row_number() OVER (k ORDER BY file_hash, quantity, price, flag) - 1 AS i
+  FROM file WINDOW k AS (PARTITION BY order_id, line, part, supplier)
+), rights AS (
+  SELECT *, count(*) OVER k AS n, row_number() OVER (k ORDER BY pre_file_hash, pre_quantity, pre_price, pre_flag) - 1 AS j
+  FROM staged WINDOW k AS (PARTITION BY pre_order_id, pre_line, pre_part, pre_supplier)
+), joined AS (
+  SELECT * EXCLUDE (m, i, n, j) FROM lefts LEFT JOIN rights ON CAST(order_id AS BIGINT) = pre_order_id
+    AND CAST(line AS INTEGER) = pre_line AND CAST(part AS BIGINT) = pre_part AND CAST(supplier AS BIGINT) = pre_supplier
+    AND CASE WHEN m <= n THEN i = j % m ELSE j = i % n END)""" + detail_sql(
     "joined", [(c.name, f"pre_{c.name}") for c in ITEMS.columns], ("data_file", "file_hash", ["file_hash"]),
-    ("preliminary_table", "staged_hash", ["pre_file_hash", "pre_origin_file", "staged_hash"]), _ITEM_ORDER))
+    ("preliminary_table", "staged_hash", ["pre_file_hash", "pre_origin_file", "staged_hash"]), _ITEM_ORDER,
+    "pre_file_hash"))
 def recon1_items_detail(spark, folder):
     return reports.recon1_detail(item_file(spark, folder), item_staged(spark, folder), ITEMS)
 
@@ -356,7 +369,7 @@ def recon2_summary(spark, folder):
     ("final_table", "final_hash", []), "id"))
 def recon2_detail(spark, folder):
     staged, final = order_staged(spark, folder), order_final(spark, folder)
-    return reports.recon2_detail(staged, final, ORDERS, matching.final_hashes(staged, final, ORDERS))
+    return reports.recon2_detail(staged, final, ORDERS)
 
 
 @query(CUSTOMER_SQL + """

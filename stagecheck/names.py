@@ -11,10 +11,8 @@ STAGED_PREFIX = "pre_"
 OUTCOME = "reconciliation_outcome"
 COUNT = "count"
 
-# Labels and limits that users of the reports rely on.
+# Labels that users of the reports rely on.
 PASSED = "PASSED"
 FAILED = "FAILED"
 EXCLUDED = "EXCLUDED"
 NOT_APPLICABLE = "-NA-"
-DETAIL_PASSED_LIMIT = 100
-DETAIL_FAILED_LIMIT = 1000

@@ -1,7 +1,7 @@
 """Whole reconciliations of one file.
 
 The hash archive, which has to be written anyway, holds keys and hashes of all rows. Once it
-stands, summary and detail read it instead of hashing and joining the tables again.
+stands, the summary reads it instead of hashing and joining the tables again.
 """
 
 from __future__ import annotations
@@ -49,9 +49,12 @@ def _write_reports(
 
 def reconcile_stage1(
     spark: SparkSession, path: str, file_name: str, spec: TableSpec, staging_root: str, report_root: str,
-    hash_root: str, multi_line: bool = False,
+    hash_root: str, multi_line: bool = False, passed: int | None = None, failed: int | None = None,
 ) -> ReconPaths:
-    """File against staging. The summary counts staged rows; the detail also shows unstaged file rows."""
+    """File against staging. The summary counts staged rows; the detail also shows unstaged file rows.
+
+    The detail is complete; ``passed`` and ``failed`` cut it to the first records of an outcome.
+    """
     if spec.excluded:
         summary_path = report_path(report_root, spec.name, file_name, 1, "RECON1")
         write_summary(excluded_summary(spark.range(0)), summary_path)
@@ -64,15 +67,15 @@ def reconcile_stage1(
     )
     return _write_reports(
         recon_summary(archive, names.PRE_FILE_HASH, names.STAGED_HASH),
-        recon1_detail(file_rows, staged, spec, archive), spec, file_name, 1, report_root, hash_root,
+        recon1_detail(file_rows, staged, spec, passed, failed), spec, file_name, 1, report_root, hash_root,
     )
 
 
 def reconcile_stage2(
     spark: SparkSession, file_name: str, spec: TableSpec, staging_root: str, final_root: str, report_root: str,
-    hash_root: str,
+    hash_root: str, passed: int | None = None, failed: int | None = None,
 ) -> ReconPaths:
-    """Staging against final, over rows present on both sides."""
+    """Staging against final, over rows present on both sides; limits as in stage 1."""
     staged = read_staged(spark, staging_root, spec, file_name)
     final = read_final(spark, final_root, spec, file_name)
     archive = write_hash_archive(
@@ -81,5 +84,5 @@ def reconcile_stage2(
     )
     return _write_reports(
         recon_summary(archive, names.STAGED_HASH, names.FINAL_HASH),
-        recon2_detail(staged, final, spec, archive), spec, file_name, 2, report_root, hash_root,
+        recon2_detail(staged, final, spec, passed, failed), spec, file_name, 2, report_root, hash_root,
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # The naming rule of data files, and the report and status wordings.
 VALID_FILE_NAME = r"^[a-zA-Z_]+~\d+\.\d+\.[a-zA-Z0-9]*$"
-STEM_PARTS = r"^([^~]*)~(\d+\.\d+)$"
+FILE_PARTS = r"^(?:.*/)?([^~/]*)~(\d+\.\d+)\.[^./]+$"
 LAST_EXTENSION = r"(?<=.)\.[^.]+$"
 REPORT_NAME = "%s_STAGE%s_%s.%s"
 ERROR_STATUS = "STAGE %s ERROR"
@@ -34,13 +34,13 @@ def is_valid_file_name(file_name: Column) -> Column:
 
 
 def file_table(file_name: Column) -> Column:
-    """Table part of ``TABLE~digits.digits.ext``; NULL when the name breaks the rule."""
-    return F.when(stem(file_name).rlike(STEM_PARTS), F.regexp_extract(stem(file_name), STEM_PARTS, 1))
+    """Table part of ``TABLE~digits.digits.ext``, folders left aside; NULL when the name breaks the rule."""
+    return F.when(file_name.rlike(FILE_PARTS), F.regexp_extract(file_name, FILE_PARTS, 1))
 
 
 def file_datetime(file_name: Column) -> Column:
     """Time part of ``TABLE~digits.digits.ext``; NULL when the name breaks the rule."""
-    return F.when(stem(file_name).rlike(STEM_PARTS), F.regexp_extract(stem(file_name), STEM_PARTS, 2))
+    return F.nullif(F.regexp_extract(file_name, FILE_PARTS, 2), F.lit(""))
 
 
 def report_name(file_name: Column, stage: Column, report: Column, extension: str = "csv") -> Column:

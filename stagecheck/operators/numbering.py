@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stagecheck.storage import pin
+from stagecheck.storage import input_slots, pin
 
 SLOT, POSITION, COPY = "_slot", "_position", "_copy"
 
@@ -38,9 +38,11 @@ def in_slots(
     """
     whole_row = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     ties = whole_row if tie_break is None else _columns(tie_break)
+    if tie_break is None and any("map<" in kind for _, kind in df.dtypes):
+        ties = []  # maps have no hash; such rows are told apart by the running id
     by = _columns(order) + ties + [F.col(COPY)]
     tagged = df.withColumn(COPY, F.monotonically_increasing_id())
-    ranged = tagged.repartitionByRange(num_partitions, *by) if num_partitions else tagged.repartitionByRange(*by)
+    ranged = tagged.repartitionByRange(num_partitions or input_slots(df), *by)
     in_order = ranged.sortWithinPartitions(*by)
     if expand:
         in_order = expand(in_order)

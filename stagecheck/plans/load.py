@@ -32,13 +32,14 @@ def load_stage1(
 ) -> None:
     """Load one file into staging. ``mode="overwrite"`` replaces what was staged of this file only."""
     rows = read_flat_file(spark, path, multi_line=multi_line)
-    write_staged(run_staging(rows, spec, file_name), staging_root, spec, mode, on_bad, check_keys)
+    write_staged(run_staging(rows, spec, file_name), staging_root, spec, mode, on_bad, check_keys, file_name)
 
 
 def load_stage2(
     spark: SparkSession, file_name: str, spec: TableSpec, staging_root: str, final_root: str, mode: str = "append",
-    on_bad: str = "null", check_keys: bool = True,
+    on_bad: str = "null", check_keys: bool = True, check_rows: bool = True, check_references: bool = True,
 ) -> None:
-    """Load the staged rows of one file into the final table."""
+    """Load the staged rows of one file into the final table; see :func:`write_final` for what is refused."""
     staged = read_staged(spark, staging_root, spec, file_name)
-    write_final(run_final(staged, spec, file_name), final_root, spec, mode, on_bad, check_keys)
+    write_final(run_final(staged, spec, file_name), final_root, spec, mode, on_bad, check_keys,
+                file_name, check_rows, check_references)

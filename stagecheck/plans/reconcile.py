@@ -7,6 +7,7 @@ stands, the summary reads it instead of hashing and joining the tables again.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ from stagecheck.sinks.tables import archive_path, write_hash_archive
 from stagecheck.sources.files import read_flat_file
 from stagecheck.sources.tables import read_final, read_staged
 from stagecheck.spec import TableSpec
+from stagecheck.storage import pin_scope
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,16 @@ def _write_reports(
     return paths
 
 
+def _owned(job):
+    """Run a reconciliation as the owner of the tables it pins."""
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs) -> ReconPaths:
+        with pin_scope(spark):
+            return job(spark, *args, **kwargs)
+    return run
+
+
+@_owned
 def reconcile_stage1(
     spark: SparkSession, path: str, file_name: str, spec: TableSpec, staging_root: str, report_root: str,
     hash_root: str, multi_line: bool = False, passed: int | None = None, failed: int | None = None,
@@ -71,6 +83,7 @@ def reconcile_stage1(
     )
 
 
+@_owned
 def reconcile_stage2(
     spark: SparkSession, file_name: str, spec: TableSpec, staging_root: str, final_root: str, report_root: str,
     hash_root: str, passed: int | None = None, failed: int | None = None,

@@ -62,18 +62,36 @@ def extract_counts(df: DataFrame, group: str = names.PRE_ORIGIN_FILE) -> DataFra
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _records(spark: SparkSession, source: str) -> DataFrame:
+    """Whole records of a delimited dataset, quoted line breaks included, with file and place in it."""
+    rows = read_flat_file(spark, source, multi_line=True)
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+
+
+def _contents(rows: DataFrame) -> tuple:
+    """Number of rows and a sum over their hashes, equal for equal bags of rows."""
+    value = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    return tuple(rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(value.cast("decimal(38,0)")), F.lit(0))).first())
+
+
 def archive_dataset(
     spark: SparkSession, source: str, target: str, codec: str = "gzip", enabled: bool = True,
     drop_source: bool = False,
 ) -> bool:
-    """Compress a delimited dataset into ``target`` and, on request, drop the original after that."""
+    """Compress a delimited dataset into ``target`` and, on request, drop the original after that.
+
+    A record may hold line breaks, so each file is read by one task. The original goes only once
+    the copy, read back, has as many rows with the same hashes; else ValueError is raised.
+    """
     if not enabled:
         return False
     if codec not in CODECS:
         raise ValueError(f"codec must be one of {CODECS}, not {codec!r}")
-    rows = read_flat_file(spark, source)
+    rows = read_flat_file(spark, source, multi_line=True)
     rows.write.mode("overwrite").options(**WRITE_OPTIONS).option("compression", codec).csv(target)
     if drop_source:
+        if _contents(rows) != _contents(read_flat_file(spark, target, rows.columns, multi_line=True)):
+            raise ValueError(f"{target} does not hold what {source} holds; nothing is dropped")
         delete_path(spark, source)
     return True
 
@@ -83,13 +101,14 @@ def compact_dataset(
 ) -> int:
     """Rewrite many small delimited files as a few of about ``target_bytes`` each; returns their number.
 
-    Read splits are put together without a shuffle.
+    Part files, read by name, hold the records in listing order: by file, then as in the file.
     """
     if target_files is None:
         size = file_manifest(spark, source).agg(F.sum("length").alias("size")).first()["size"] or 0
         target_files = max(1, math.ceil(size / target_bytes))
-    rows = read_flat_file(spark, source)
-    rows.coalesce(target_files).write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
+    rows = _records(spark, source)
+    ordered = rows.repartitionByRange(target_files, "_file", "_row").sortWithinPartitions("_file", "_row")
+    ordered.drop("_file", "_row").write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
     return target_files
 
 

@@ -4,64 +4,128 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stagecheck import names
-from stagecheck.operators.audit import key_conflicts, pk_duplicates
+from stagecheck.operators.audit import fk_orphans, pk_duplicates
 from stagecheck.operators.mapping import coerce_declared
-from stagecheck.sources.tables import read_final, read_staged, table_path
-from stagecheck.spec import TableSpec
-from stagecheck.storage import path_exists
+from stagecheck.sources.tables import partition_path, read_final, read_staged, table_path
+from stagecheck.spec import ForeignKey, TableSpec
+from stagecheck.storage import delete_path, path_exists, pin, pin_scope
 
 
 def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def _refuse_conflicts(new: DataFrame, stored: DataFrame | None, keys: Sequence[str], table: str) -> None:
-    conflicts = pk_duplicates(new, keys) if stored is None else key_conflicts(new, stored, keys)
-    example = conflicts.first()
+def delete_file(spark: SparkSession, path: str, origin_file: str, partition: str = names.PRE_ORIGIN_FILE) -> bool:
+    """Drop the rows of one file from a stored table: its partition is deleted, no other is touched."""
+    return delete_path(spark, partition_path(spark, path, partition, origin_file))
+
+
+def _refuse_repeats(new: DataFrame, keys: Sequence[str], table: str) -> None:
+    example = pk_duplicates(new, keys).first()
+    if example is not None:
+        raise ValueError(f"{table}: key {example.asDict()} is not unique")
+
+
+def stored_collisions(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``new`` that are stored already.
+
+    The stored side is only narrowed, by the range of the new keys at its scan and then by the
+    keys themselves, which are sent to it while they are small; its own rows need not move.
+    """
+    wanted = new.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    ends = wanted.agg(F.min(f"_{keys[0]}"), F.max(f"_{keys[0]}")).first()
+    near = stored.select(*keys).filter(F.col(keys[0]).between(F.lit(ends[0]), F.lit(ends[1])))
+    return near.join(wanted, [near[k] == wanted[f"_{k}"] for k in keys], "left_semi")
+
+
+def _refuse_collisions(new: DataFrame, stored: DataFrame, keys: Sequence[str], table: str) -> None:
+    example = stored_collisions(new, stored, keys).first()
     if example is not None:
         raise ValueError(f"{table}: key {example.asDict()} is not unique")
 
 
 def write_staged(
     df: DataFrame, root: str, spec: TableSpec, mode: str = "append", on_bad: str = "null", check_keys: bool = True,
+    origin_file: str | None = None,
 ) -> None:
     """Append cleaned rows, cast to their declared types; ``mode="overwrite"`` replaces their files.
 
     The key of a staging table is the source key and the origin file. As a database would, a
-    load that breaks it is refused, unless ``check_keys`` is off.
+    load that breaks it is refused, unless ``check_keys`` is off. ``origin_file`` names the file that
+    an overwrite replaces, so that its old rows go even if it has no rows now. The rows are
+    computed once: checks and table read what was written first.
     """
-    typed = coerce_declared(df, spec.staged_columns, on_bad).select(*spec.staged_schema.names)
-    path = table_path(root, spec.staged_name)
-    if check_keys:
-        stored = None
-        if mode == "append" and path_exists(df.sparkSession, path):
-            files = typed.select(names.PRE_ORIGIN_FILE).distinct()
-            stored = read_staged(df.sparkSession, root, spec).join(files, names.PRE_ORIGIN_FILE, "left_semi")
-        _refuse_conflicts(typed, stored, [*spec.staged_keys, names.PRE_ORIGIN_FILE], spec.staged_name)
-    _write(typed, path, names.PRE_ORIGIN_FILE, mode)
+    spark, path = df.sparkSession, table_path(root, spec.staged_name)
+    with pin_scope(spark):
+        typed = pin(coerce_declared(df, spec.staged_columns, on_bad).select(*spec.staged_schema.names), "load")
+        if check_keys:
+            keys = [*spec.staged_keys, names.PRE_ORIGIN_FILE]
+            _refuse_repeats(typed, keys, spec.staged_name)
+            if mode == "append" and path_exists(spark, path):
+                stored = read_staged(spark, root, spec, origin_file)
+                if origin_file is None:
+                    stored = stored.join(typed.select(names.PRE_ORIGIN_FILE).distinct(), names.PRE_ORIGIN_FILE, "left_semi")
+                _refuse_collisions(typed, stored, keys, spec.staged_name)
+        if mode == "overwrite" and origin_file is not None:
+            delete_file(spark, path, origin_file)
+        _write(typed, path, names.PRE_ORIGIN_FILE, mode)
 
 
 def write_final(
     df: DataFrame, root: str, spec: TableSpec, mode: str = "append", on_bad: str = "null", check_keys: bool = True,
+    origin_file: str | None = None, check_rows: bool = True, check_references: bool = True,
 ) -> None:
-    """Append mapped rows; ``mode="overwrite"`` replaces their files.
+    """Append mapped rows; ``mode="overwrite"`` replaces their files, and ``origin_file`` in any case.
 
-    The key of a final table is the source key alone, over all files.
+    The key of a final table is the source key alone, over all files. As a database would, a
+    load is refused that breaks it, lacks a required value (``check_rows``), or refers to a parent
+    that is not stored below ``root`` (``check_references``).
     """
-    typed = coerce_declared(df, spec.columns, on_bad).select(*spec.final_schema.names)
-    path = table_path(root, spec.name)
-    if check_keys:
-        stored = None
-        if path_exists(df.sparkSession, path):
-            stored = read_final(df.sparkSession, root, spec)
-            if mode == "overwrite":
-                files = typed.select(names.ORIGIN_FILE).distinct()
-                stored = stored.join(files, names.ORIGIN_FILE, "left_anti")
-        _refuse_conflicts(typed, stored, spec.keys, spec.name)
-    _write(typed, path, names.ORIGIN_FILE, mode)
+    spark, path = df.sparkSession, table_path(root, spec.final_name)
+    with pin_scope(spark):
+        typed = pin(coerce_declared(df, spec.columns, on_bad).select(*spec.final_schema.names), "load")
+        if check_keys:
+            _refuse_repeats(typed, spec.keys, spec.final_name)
+            if path_exists(spark, path):
+                stored = read_final(spark, root, spec)
+                if mode == "overwrite":
+                    files = typed.select(names.ORIGIN_FILE).distinct()
+                    stored = stored.join(files, names.ORIGIN_FILE, "left_anti")
+                    if origin_file is not None:
+                        stored = stored.filter(F.col(names.ORIGIN_FILE) != F.lit(origin_file))
+                _refuse_collisions(typed, stored, spec.keys, spec.final_name)
+        if check_rows:
+            _refuse_missing(typed, spec)
+        if check_references:
+            for reference in spec.foreign_keys:
+                _refuse_orphans(typed, root, spec, reference)
+        if mode == "overwrite" and origin_file is not None:
+            delete_file(spark, path, origin_file, names.ORIGIN_FILE)
+        _write(typed, path, names.ORIGIN_FILE, mode)
+
+
+def _refuse_missing(typed: DataFrame, spec: TableSpec) -> None:
+    required = [c.name for c in spec.columns if c.required]
+    if not required:
+        return
+    missing = typed.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in required]).first().asDict()
+    broken = {c: n for c, n in missing.items() if n}
+    if broken:
+        raise ValueError(f"{spec.final_name}: required values are missing: {broken}")
+
+
+def _refuse_orphans(typed: DataFrame, root: str, spec: TableSpec, reference: ForeignKey) -> None:
+    parents = table_path(root, reference.parent)
+    if path_exists(typed.sparkSession, parents):
+        stored = typed.sparkSession.read.parquet(parents).select(reference.parent_column)
+        example = fk_orphans(typed, stored, reference.column, reference.parent_column).first()
+    else:
+        example = typed.filter(F.col(reference.column).isNotNull()).first()
+    if example is not None:
+        raise ValueError(f"{spec.final_name}: {reference.column} {example[reference.column]} has no row in {reference.parent}")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_size: int = 10_000) -> None:
@@ -69,9 +133,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     df.write.mode("append").option("batchsize", batch_size).jdbc(url, table, properties=dict(properties))
 
 
-def reload_file(df: DataFrame, path: str, partition: str) -> None:
-    """Replace the rows of the files in ``df``: only their partitions are rewritten."""
-    _write(df, path, partition, "overwrite")
+def reload_file(df: DataFrame, path: str, partition: str, files: Sequence[str] = ()) -> None:
+    """Replace the rows of the files in ``df`` and of those named in ``files``, which may have none left."""
+    with pin_scope(df.sparkSession):
+        rows = pin(df, "reload")  # may itself read what is deleted next
+        for file in files:
+            delete_file(df.sparkSession, path, file, partition)
+        _write(rows, path, partition, "overwrite")
 
 
 def delete_by_file(df: DataFrame, origin_file: str, column: str = names.PRE_ORIGIN_FILE) -> DataFrame:

@@ -3,26 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from urllib.parse import urlencode
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stagecheck import names
 from stagecheck.spec import TableSpec
+from stagecheck.storage import path_exists
 
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def partition_path(spark: SparkSession, path: str, partition: str, value: str) -> str:
+    """Folder that holds the rows of one partition value."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path}/{utils.getPartitionPathString(partition, value)}"
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, partition: str, value: str | None) -> DataFrame:
+    """A partitioned table, or one of its partitions without listing the others."""
+    if value is None:
+        return spark.read.schema(schema).parquet(path)
+    folder = partition_path(spark, path, partition, value)
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(folder)
+
+
 def read_staged(spark: SparkSession, root: str, spec: TableSpec, origin_file: str | None = None) -> DataFrame:
-    """Staged rows, of one file if named: the file is a partition, so no other is opened."""
-    df = spark.read.schema(spec.staged_schema).parquet(table_path(root, spec.staged_name))
-    return df if origin_file is None else df.filter(F.col(names.PRE_ORIGIN_FILE) == F.lit(origin_file))
+    """Staged rows, of one file if named: the file is a partition, so no other is listed or opened."""
+    return _read(spark, table_path(root, spec.staged_name), spec.staged_schema, names.PRE_ORIGIN_FILE, origin_file)
 
 
 def read_final(spark: SparkSession, root: str, spec: TableSpec, origin_file: str | None = None) -> DataFrame:
-    df = spark.read.schema(spec.final_schema).parquet(table_path(root, spec.name))
-    return df if origin_file is None else df.filter(F.col(names.ORIGIN_FILE) == F.lit(origin_file))
+    return _read(spark, table_path(root, spec.final_name), spec.final_schema, names.ORIGIN_FILE, origin_file)
 
 
 def query_frames(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
@@ -30,35 +47,31 @@ def query_frames(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFram
     return spark.sql(sql, **frames)
 
 
-def mysql_connection(details: Mapping[str, str | int]) -> tuple[str, dict[str, str]]:
-    """JDBC address and properties from hostname, port, schema, username and password."""
-    url = (
-        f"jdbc:mysql://{details['hostname']}:{details['port']}/{details['schema']}"
-        "?useSSL=true&verifyServerCertificate=false&requireSSL=false"
-    )
-    properties = {
-        "user": str(details["username"]),
-        "password": str(details["password"]),
-        "driver": "com.mysql.cj.jdbc.Driver",
-        "ssl": "false",
-    }
-    return url, properties
-
-
-def read_jdbc(
-    spark: SparkSession, url: str, query: str, properties: Mapping[str, str], split_column: str | None = None,
-    lower: int | str | None = None, upper: int | str | None = None, partitions: int = 1,
-) -> DataFrame:
-    """Result of a table name or bracketed query of a database.
-
-    With ``split_column`` and its bounds the read is split over ``partitions`` connections.
-    """
-    try:
-        if split_column is None:
-            return spark.read.jdbc(url=url, table=query, properties=dict(properties))
-        return spark.read.jdbc(
-            url=url, table=query, column=split_column, lowerBound=lower, upperBound=upper,
-            numPartitions=partitions, properties=dict(properties),
-        )
-    except Exception as error:
-        raise RuntimeError(f"reading {query} failed: {error}") from error
+def jdbc_address(kind: str, host: str, port: int, schema: str, options: Mapping[str, str] | None = None) -> str:
+    """Address of a database; ``options`` are the driver's own, such as its TLS mode."""
+    return f"jdbc:{kind}://{host}:{port}/{schema}" + (f"?{urlencode(sorted(options.items()))}" if options else "")
+
+
+@dataclass(frozen=True)
+class Split:
+    """How a read is cut into ``partitions`` connections: ranges of ``column`` between two bounds, rows beyond them included."""
+
+    column: str
+    lower: int | str
+    upper: int | str
+    partitions: int
+
+
+def jdbc_options(
+    url: str, source: str, user: str, password: str, split: Split | None = None, **more: str,
+) -> dict[str, str]:
+    """Reader options for a table name or bracketed query; ``more`` are driver, fetchsize and the like."""
+    cut = {} if split is None else {
+        "partitionColumn": split.column, "lowerBound": str(split.lower), "upperBound": str(split.upper),
+        "numPartitions": str(split.partitions)}
+    return {"url": url, "dbtable": source, "user": user, "password": password, **cut, **more}
+
+
+def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+    """Rows of a database, by the options of :func:`jdbc_options`."""
+    return spark.read.format("jdbc").options(**options).load()

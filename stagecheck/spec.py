@@ -68,7 +68,8 @@ class TableSpec:
     ``columns`` are the columns of the final table under their own names; the staging
     table holds the same columns under the staging prefix. ``file_columns`` are the
     columns mapped from the source file, which differ only for tables derived from
-    another table's file.
+    another table's file. Mappings and table names may be given as they are; else they follow
+    from the columns and the staging prefix.
     """
 
     name: str
@@ -81,26 +82,48 @@ class TableSpec:
     carries_file_hash: bool = True
     excluded: bool = False
     prefix: str = names.STAGED_PREFIX
+    staged_table: str | None = None
+    final_table: str | None = None
+    to_staging: tuple[ColumnMapping, ...] | None = None
+    to_final: tuple[ColumnMapping, ...] | None = None
 
     @property
     def staged_name(self) -> str:
-        return f"PRE_{self.name}"
+        return self.staged_table or f"PRE_{self.name}"
+
+    @property
+    def final_name(self) -> str:
+        return self.final_table or self.name
+
+    def staged_column(self, name: str) -> str:
+        """What a final column is called in the staging table."""
+        return {m.target: m.source for m in self.final_mappings}[name]
 
     @property
     def staged_keys(self) -> tuple[str, ...]:
-        return tuple(self.prefix + k for k in self.keys)
+        return tuple(self.staged_column(k) for k in self.keys)
 
     @property
     def staged_hash_columns(self) -> tuple[str, ...]:
-        return tuple(self.prefix + c for c in self.hash_columns)
+        return tuple(self.staged_column(c) for c in self.hash_columns)
+
+    @property
+    def source_keys(self) -> tuple[str, ...]:
+        """The key columns as the source file names them."""
+        sources = {m.target: m.source for m in self.staging_mappings}
+        return tuple(sources[k] for k in self.staged_keys)
 
     @property
     def staging_mappings(self) -> tuple[ColumnMapping, ...]:
+        if self.to_staging is not None:
+            return self.to_staging
         mapped = self.file_columns or tuple(c.name for c in self.columns)
         return tuple(ColumnMapping(c, "string", self.prefix + c, "string") for c in mapped)
 
     @property
     def final_mappings(self) -> tuple[ColumnMapping, ...]:
+        if self.to_final is not None:
+            return self.to_final
         return tuple(ColumnMapping(self.prefix + c.name, c.type, c.name, c.type) for c in self.columns)
 
     def column(self, name: str) -> Column:
@@ -109,6 +132,11 @@ class TableSpec:
                 return c
         raise KeyError(f"{self.name} has no column {name!r}")
 
+    @property
+    def staged_kinds(self) -> dict[str, str]:
+        """:meth:`kinds` by the names of the staging table."""
+        return {self.staged_column(c): kind for c, kind in self.kinds().items()}
+
     def kinds(self, prefix: str = "") -> dict[str, str]:
         """How hash columns are rendered: booleans as 1/0, decimals without trailing zeros."""
         kinds = {}
@@ -123,7 +151,7 @@ class TableSpec:
     @property
     def staged_columns(self) -> tuple[Column, ...]:
         """Declared staging columns, without the origin file."""
-        prefixed = tuple(Column(self.prefix + c.name, c.type, c.required, c.length) for c in self.columns)
+        prefixed = tuple(Column(self.staged_column(c.name), c.type, c.required, c.length) for c in self.columns)
         if not self.carries_file_hash:
             return prefixed
         return prefixed + (Column(names.PRE_FILE_HASH, "string", False, 64),)
@@ -148,10 +176,13 @@ def specs_from_config(
     """Build specs from a migration configuration already read from JSON.
 
     The configuration names, per table, ``mappings_prelim`` and ``mappings_final`` as
-    4-tuples, ``primary_keys`` and ``pre_exclude_from_hash``. A bare ``decimal`` gets
+    4-tuples, ``primary_keys`` and ``pre_exclude_from_hash``, and may name the tables
+    (``prelim_name``, ``final_name``). Mappings hold as written. A bare ``decimal`` gets
     ``decimal_type``, since Spark's own default would drop the cents.
     """
     prefix = config.get("prelim_column_prefix", names.STAGED_PREFIX)
+    full = lambda kind: decimal_type if kind == "decimal" else kind
+    mappings = lambda rows: tuple(ColumnMapping(a, full(x), b, full(y)) for a, x, b, y in rows)
     specs = {}
     for name, entry in config["tables"].items():
         columns = tuple(
@@ -159,6 +190,7 @@ def specs_from_config(
             for _, _, target, kind in entry["mappings_final"]
         )
         from_file = tuple(source for source, *_ in entry["mappings_prelim"])
+        derived = {m[2] for m in entry["mappings_prelim"]} != {m[0] for m in entry["mappings_final"]}
         excluded = bool(entry["pre_exclude_from_hash"])
         hashed = tuple((hash_columns or {}).get(name, () if excluded else [c.name for c in columns]))
         specs[name] = TableSpec(
@@ -167,9 +199,13 @@ def specs_from_config(
             keys=tuple(entry["primary_keys"]),
             hash_columns=hashed,
             steps=tuple((steps or {}).get(name, ())),
-            file_columns=from_file if set(from_file) != {c.name for c in columns} else None,
+            file_columns=from_file if derived else None,
             carries_file_hash=not excluded,
             excluded=excluded,
             prefix=prefix,
+            staged_table=entry.get("prelim_name"),
+            final_table=entry.get("final_name"),
+            to_staging=mappings(entry["mappings_prelim"]),
+            to_final=mappings(entry["mappings_final"]),
         )
     return specs

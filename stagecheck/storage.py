@@ -2,28 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
+import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
+#: Paths of the tables pinned inside the innermost scope.
+_pinned: ContextVar[list[str] | None] = ContextVar("pinned", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, reachable from every executor.
-
-    Only a local session may do without the setting; it then gets a fresh folder of its own.
-    """
+    """The folder named by ``spark.checkpoint.dir``, or else the session's warehouse: both are shared by all executors."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="stagecheck-")
-    return _local_folders[app]
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,9 +34,35 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if (scope := _pinned.get()) is not None:
+        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def pin_scope(spark: SparkSession) -> Iterator[None]:
+    """Own the tables pinned inside the block, and delete them at its end.
+
+    For jobs that have written their result by then; frames that read such a table must not leave the block.
+    """
+    token = _pinned.set([])
+    try:
+        yield
+    finally:
+        for path in _pinned.get():
+            delete_path(spark, path)
+        _pinned.reset(token)
+
+
+def input_slots(df: DataFrame, slot_bytes: int = 128 << 20) -> int:
+    """Partitions for ``df`` by the size of the files it reads, three times what they take on disk; at least the session's."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [float(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = [s for s in sizes if s < 1 << 60]  # frames made in memory have no size
+    return max(least, math.ceil(3 * sum(known) / slot_bytes))
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -59,5 +79,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def drop_pins(spark: SparkSession) -> bool:
-    """Delete the written tables of this application once nothing reads them any more."""
+    """Delete all pinned tables of this application that no scope owns, once nothing reads them any more."""
     return delete_path(spark, f"{shared_folder(spark)}/stagecheck/{spark.sparkContext.applicationId}")

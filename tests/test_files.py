@@ -97,12 +97,54 @@ def test_report_path():
 
 
 def test_jdbc(spark):
-    url, props = tables.mysql_connection(
-        {"hostname": "h", "port": 3306, "schema": "s", "username": "u", "password": "p"})
-    assert url == "jdbc:mysql://h:3306/s?useSSL=true&verifyServerCertificate=false&requireSSL=false"
-    assert props == {"user": "u", "password": "p", "driver": "com.mysql.cj.jdbc.Driver", "ssl": "false"}
-    with pytest.raises(RuntimeError, match="reading"):
-        tables.read_jdbc(spark, url, "(SELECT 1) t", props)
+    url = tables.jdbc_address("mysql", "h", 3306, "s", {"sslMode": "VERIFY_IDENTITY"})
+    assert url == "jdbc:mysql://h:3306/s?sslMode=VERIFY_IDENTITY"
+    assert tables.jdbc_address("postgresql", "h", 5432, "s") == "jdbc:postgresql://h:5432/s"
+    options = tables.jdbc_options(url, "(SELECT 1) t", "u", "p", tables.Split("id", 0, 900, 9), fetchsize="1000")
+    assert options == {
+        "url": url, "dbtable": "(SELECT 1) t", "user": "u", "password": "p", "partitionColumn": "id", "lowerBound": "0",
+        "upperBound": "900", "numPartitions": "9", "fetchsize": "1000"}
+    with pytest.raises(Exception):  # no driver here
+        tables.read_jdbc(spark, options)
+
+
+def test_header_of_a_nested_folder(spark, tmp_path):
+    (tmp_path / "in" / "day=1").mkdir(parents=True)
+    write(tmp_path / "in" / "day=1" / "a.csv", 'id,"na,me"\n1,x\n')
+    assert sources.read_flat_file(spark, str(tmp_path / "in")).columns == ["id", "na,me"]
+
+
+def test_merge_of_folders_goes_by_path_and_name(spark, tmp_path):
+    for folder, files in (("b", {"2.csv": range(30), "1.csv": [99]}), ("a", {"x y.csv": range(50, 52)})):
+        (tmp_path / folder).mkdir()
+        for name, ids in files.items():
+            write(tmp_path / folder / name, "id\n" + "".join(f"{i}\n" for i in ids))
+    merged = sources.merge_csv_files(spark, [str(tmp_path / "b"), str(tmp_path / "a")])
+    got = [r.id for r in merged.orderBy(*sources.FILE_ORDER).collect()]
+    assert got == ["99", *map(str, range(30)), "50", "51"]
+
+
+def test_line_breaks_survive_archive_and_compaction(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", 'id,v\n1,"two\nlines"\n2,x\n')
+    write(tmp_path / "in" / "b.csv", "id,v\n3,y\n")
+    rows = [("1", "two\nlines"), ("2", "x"), ("3", "y")]
+    sinks.compact_dataset(spark, str(tmp_path / "in"), str(tmp_path / "few"))
+    part, = (tmp_path / "few").glob("part-*")
+    assert part.read_text() == 'id,v\n1,"two\nlines"\n2,x\n3,y\n'
+    sinks.archive_dataset(spark, str(tmp_path / "in"), str(tmp_path / "packed"), drop_source=True)
+    assert not path_exists(spark, str(tmp_path / "in"))
+    back = sources.read_flat_file(spark, str(tmp_path / "packed"), multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_archive_drops_nothing_that_differs(spark, tmp_path, monkeypatch):
+    source = write(tmp_path / "a.csv", "id\n1\n2\n")
+    contents = iter([(2, 5), (2, 6)])
+    monkeypatch.setattr(sinks, "_contents", lambda rows: next(contents))
+    with pytest.raises(ValueError, match="nothing is dropped"):
+        sinks.archive_dataset(spark, source, str(tmp_path / "packed"), drop_source=True)
+    assert path_exists(spark, source)
 
 
 def test_any_text_survives(spark, tmp_path):

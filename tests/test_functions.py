@@ -80,3 +80,9 @@ def test_messages(spark):
     assert row[0] == "T~1.2_STAGE2_RECON1.csv"
     assert row[1] == "STAGE 2 ERROR"
     assert row[2].startswith("Stage 2 data pipeline for file T~1.2.csv is failing at job job with error:\n[Kind] cause.")
+
+
+def test_file_names_below_folders(spark):
+    df = spark.createDataFrame([("in/box/A~1.2.csv",), ("A~1.2",), ("in/A~B~1.2.csv",), ("~1.2.csv",), (None,)], "n string")
+    got = [tuple(r) for r in df.select(text.file_table(F.col("n")), text.file_datetime(F.col("n"))).collect()]
+    assert got == [("A", "1.2"), (None, None), (None, None), ("", "1.2"), (None, None)]

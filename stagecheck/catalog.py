@@ -7,6 +7,7 @@ value: rows left out, texts changed, values lost.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,8 +18,8 @@ from stagecheck.operators import audit, cleaning, ledger, mapping, matching, num
 from stagecheck.plans import load, reconcile
 from stagecheck.sinks import files as file_sinks, tables as table_sinks
 from stagecheck.sources import files as file_sources
-from stagecheck.sources.tables import query_frames, read_final, read_staged
-from stagecheck.spec import Column, ColumnMapping, TableSpec
+from stagecheck.sources.tables import query_frames, read_final, read_staged, table_path
+from stagecheck.spec import Column, ColumnMapping, ForeignKey, TableSpec, specs_from_config
 from stagecheck.storage import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,33 +403,86 @@ def sql_over_frames(spark, folder):
 
 # --- whole jobs over real folders --------------------------------------------------------
 
-@query("""SELECT 'FAILED' AS reconciliation_outcome, CAST(0 AS BIGINT) AS "count"
-          UNION ALL SELECT 'PASSED', count(*) FROM customer""")
+def _both_reports(spark: SparkSession, done: reconcile.ReconPaths) -> DataFrame:
+    """The summary report with the lines of the detail report, both read back."""
+    reader = spark.read.option("header", True).option("escape", '"')
+    lines = reader.csv(done.detail).groupBy(names.OUTCOME).agg(F.count(F.lit(1)).alias("detail_lines"))
+    report = reader.csv(done.summary).select(names.OUTCOME, F.col(names.COUNT).cast("bigint").alias(names.COUNT))
+    return report.join(lines, names.OUTCOME, "left").fillna(0, ["detail_lines"])
+
+
+_RUN_SQL = """SELECT CASE WHEN {fault} THEN 'FAILED' ELSE 'PASSED' END AS reconciliation_outcome, count(*) AS "count",
+              2 * count(*) AS detail_lines FROM {table} GROUP BY 1"""
+
+
+@query(_RUN_SQL.format(fault="c_nationkey IN (5, 6)", table="customer"))
 def stage1_run(spark, folder):
-    """Extract to a file, load it into staging, reconcile, and read the summary report back."""
+    """Extract to a file, load it into staging, damage values and carried hashes there, reconcile, read both reports back."""
     root = scratch_path(spark, "stage1")
     path = file_sinks.extract_table(
         customer_rows(spark, folder), CUSTOMER.hash_columns, root, CUSTOMER.name, "20240101.000000")
     load.load_stage1(spark, path, CUSTOMER_FILE, CUSTOMER, f"{root}/staging")
+    staged = read_staged(spark, f"{root}/staging", CUSTOMER, CUSTOMER_FILE).withColumns({
+        "pre_name": F.when(F.col("pre_nation") == 5, "changed").otherwise(F.col("pre_name")),
+        names.PRE_FILE_HASH: F.when(F.col("pre_nation") == 6, "damaged").otherwise(F.col(names.PRE_FILE_HASH))})
+    table_sinks.reload_file(staged, table_path(f"{root}/staging", CUSTOMER.staged_name), names.PRE_ORIGIN_FILE, [CUSTOMER_FILE])
     done = reconcile.reconcile_stage1(
         spark, path, CUSTOMER_FILE, CUSTOMER, f"{root}/staging", f"{root}/reports", f"{root}/hashes")
-    report = spark.read.option("header", True).csv(done.summary)
-    return report.select(names.OUTCOME, F.col(names.COUNT).cast("bigint").alias(names.COUNT))
+    return _both_reports(spark, done)
 
 
-@query("""SELECT 'FAILED' AS reconciliation_outcome, CAST(0 AS BIGINT) AS "count"
-          UNION ALL SELECT 'PASSED', count(*) FROM orders""")
+@query(_RUN_SQL.format(fault="o_orderpriority = '5-LOW'", table="orders"))
 def stage2_run(spark, folder):
-    """Stage, load into the final table, reconcile, and read the summary report back."""
+    """Stage, load into the final table with its parents, damage values there, reconcile, and read both reports back.
+
+    Loads that would break the final table (an unknown customer, a missing value, a stored key) are refused first.
+    """
     root = scratch_path(spark, "stage2")
     rows = order_staged(spark, folder).withColumn(names.PRE_FILE_HASH, F.lit(None).cast("string"))
     staged = mapping.with_origin_file(rows, ORDER_FILE)
-    table_sinks.write_staged(staged, f"{root}/staging", ORDERS)
-    load.load_stage2(spark, ORDER_FILE, ORDERS, f"{root}/staging", f"{root}/final")
+    spec = replace(ORDERS, foreign_keys=(ForeignKey("customer", "CUSTOMER"),))
+    parents = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
+    parents.write.parquet(f"{root}/final/CUSTOMER")
+    table_sinks.write_staged(staged, f"{root}/staging", spec)
+    first = F.col("pre_id") == staged.agg(F.min("pre_id")).first()[0]
+    for column, value in (("pre_customer", F.lit(-1)), ("pre_priority", F.lit(None))):
+        broken = staged.withColumn(column, F.when(first, value).otherwise(F.col(column)))
+        _must_refuse(lambda rows=broken: table_sinks.write_final(
+            load.run_final(rows, spec, ORDER_FILE), f"{root}/final", spec))
+    load.load_stage2(spark, ORDER_FILE, spec, f"{root}/staging", f"{root}/final")
+    _must_refuse(lambda: table_sinks.write_final(
+        load.run_final(staged.filter(first), spec, "ORDERS~2.2.csv"), f"{root}/final", spec))
+    final = read_final(spark, f"{root}/final", spec, ORDER_FILE).withColumn(
+        "priority", F.when(F.col("priority") == "5-LOW", "changed").otherwise(F.col("priority")))
+    table_sinks.reload_file(final, table_path(f"{root}/final", spec.final_name), names.ORIGIN_FILE, [ORDER_FILE])
     done = reconcile.reconcile_stage2(
-        spark, ORDER_FILE, ORDERS, f"{root}/staging", f"{root}/final", f"{root}/reports", f"{root}/hashes")
-    report = spark.read.option("header", True).csv(done.summary)
-    return report.select(names.OUTCOME, F.col(names.COUNT).cast("bigint").alias(names.COUNT))
+        spark, ORDER_FILE, spec, f"{root}/staging", f"{root}/final", f"{root}/reports", f"{root}/hashes")
+    return _both_reports(spark, done)
+
+
+def _must_refuse(write: Callable[[], None]) -> None:
+    try:
+        write()
+    except ValueError:
+        return
+    raise AssertionError("a load that breaks the final table was not refused")
+
+
+@query("""SELECT c_custkey AS id, c_name AS title, upper(sha256(CAST(c_custkey AS VARCHAR) || c_name)) AS final_hash FROM customer""")
+def configured_run(spark, folder):
+    """Both stages by a configuration that renames tables and columns, the key among them."""
+    spec = specs_from_config({"tables": {"CUSTOMER": {
+        "prelim_name": "STAGED_CUSTOMERS", "final_name": "CUSTOMERS",
+        "mappings_prelim": [["number", "string", "cust_no", "string"], ["name", "string", "cust_name", "string"]],
+        "mappings_final": [["cust_no", "bigint", "id", "bigint"], ["cust_name", "string", "title", "string"]],
+        "primary_keys": ["id"], "pre_exclude_from_hash": False}}})["CUSTOMER"]
+    root = scratch_path(spark, "configured")
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("number"), F.col("c_name").alias("name"))
+    path = file_sinks.extract_table(rows, ["number", "name"], root, "CUSTOMER", "20240101.000000")
+    load.load_stage1(spark, path, CUSTOMER_FILE, spec, f"{root}/staging")
+    load.load_stage2(spark, CUSTOMER_FILE, spec, f"{root}/staging", f"{root}/final")
+    final = read_final(spark, f"{root}/final", spec, CUSTOMER_FILE)
+    return matching.with_mapped_hash(final, ["id", "title"], names.FINAL_HASH).select("id", "title", names.FINAL_HASH)
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment,
@@ -457,40 +511,50 @@ def flat_file_scan(spark, folder):
     return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-@query("""SELECT p_partkey, p_name, p_brand FROM part
-          UNION ALL SELECT s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) FROM supplier""")
+def _in_file_order(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Records of a dataset with their places in it: part files by name, then as in the file."""
+    rows = file_sources.read_flat_file(spark, path, columns, multi_line=True).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    return numbering.number_rows(rows, ["_file", "_row"], start=1, name="place", tie_break=()).drop("_file", "_row")
+
+
+@query("""SELECT *, row_number() OVER (ORDER BY source, p_partkey) AS place FROM (
+            SELECT 1 AS source, p_partkey, p_name, p_brand FROM part
+            UNION ALL SELECT 0, s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) FROM supplier)""")
 def merge_csv(spark, folder):
     root = scratch_path(spark, "merge")
     part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
     supplier = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("p_name"),
         F.col("s_nationkey").cast("string").alias("p_brand"))
-    part.write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/first")
-    supplier.write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/second")
-    merged = file_sources.merge_csv_files(spark, [f"{root}/first", f"{root}/second"])
+    for source, name in ((part, "first"), (supplier, "second")):
+        source.orderBy("p_partkey").write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/{name}")
+    merged = file_sources.merge_csv_files(spark, [f"{root}/second", f"{root}/first"])
     file_sinks.write_merged(merged, f"{root}/merged")
-    back = file_sources.read_flat_file(spark, f"{root}/merged", part.columns)
-    return back.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+    back = _in_file_order(spark, f"{root}/merged", part.columns)
+    source = F.when(F.col("p_name").startswith("Supplier"), 0).otherwise(1)
+    return back.select(source.alias("source"), F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "p_brand", "place")
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders")
+@query("SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS place FROM documents")
 def compact_roundtrip(spark, folder):
+    """Texts with line breaks and quotes: whole, and in the order of the many files."""
     root = scratch_path(spark, "compact")
-    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
-    rows.repartition(16).write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/many")
-    file_sinks.compact_dataset(spark, f"{root}/many", f"{root}/few")
-    back = file_sources.read_flat_file(spark, f"{root}/few", rows.columns)
-    return back.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+    rows = table(spark, folder, "documents").select("doc_id", "text")
+    rows.repartitionByRange(16, "doc_id").sortWithinPartitions("doc_id").write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/many")
+    file_sinks.compact_dataset(spark, f"{root}/many", f"{root}/few", target_files=3)
+    return _in_file_order(spark, f"{root}/few", rows.columns).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-@query("SELECT p_partkey, p_name, p_type FROM part")
+@query("SELECT doc_id, text, lang FROM documents")
 def archive_roundtrip(spark, folder):
+    """Texts with line breaks and quotes; the source goes only once the copy holds the same."""
     root = scratch_path(spark, "archive")
-    rows = table(spark, folder, "part").select("p_partkey", "p_name", "p_type")
+    rows = table(spark, folder, "documents").select("doc_id", "text", "lang")
     rows.write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/plain")
     file_sinks.archive_dataset(spark, f"{root}/plain", f"{root}/packed", drop_source=True)
-    back = file_sources.read_flat_file(spark, f"{root}/packed", rows.columns)
-    return back.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+    back = file_sources.read_flat_file(spark, f"{root}/packed", rows.columns, multi_line=True)
+    return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 @query("""SELECT 'o_year=' || year(o_orderdate) AS part_folder, CAST(1 AS BIGINT) AS files, true AS has_bytes
@@ -525,6 +589,18 @@ def reload_file(spark, folder):
     return spark.read.parquet(path)
 
 
+@query(f"""SELECT o_orderkey, o_orderstatus, {_YEAR_FILE} AS pre_origin_file FROM orders
+           WHERE year(o_orderdate) NOT IN (1996, 1997)""")
+def reload_nothing(spark, folder):
+    """One file reloaded with no rows, one deleted: neither leaves any."""
+    path = scratch_path(spark, "reload")
+    rows = _orders_by_year(spark, folder)
+    rows.write.partitionBy(names.PRE_ORIGIN_FILE).parquet(path)
+    table_sinks.reload_file(rows.filter("false"), path, names.PRE_ORIGIN_FILE, ["ORDERS~1996.1.csv"])
+    table_sinks.delete_file(spark, path, "ORDERS~1997.1.csv")
+    return spark.read.parquet(path)
+
+
 @query(f"""SELECT o_orderkey, o_orderstatus, {_YEAR_FILE} AS pre_origin_file FROM orders
            WHERE year(o_orderdate) <> 1996""")
 def delete_by_file(spark, folder):
@@ -568,11 +644,12 @@ def map_to_staging(spark, folder):
 
 
 @query(f"""SELECT o_orderkey AS id, o_custkey AS customer, o_orderstatus AS status,
-           CAST(o_totalprice AS DECIMAL(12,2)) AS total, o_orderpriority AS priority, '{ORDER_FILE}' AS origin_file
-           FROM orders""")
+           CAST(o_totalprice AS DECIMAL(12,2)) AS total, CAST(CAST(o_orderdate AS TIMESTAMP) AS VARCHAR) AS ordered_at,
+           o_orderpriority AS priority, '{ORDER_FILE}' AS origin_file FROM orders""")
 def map_to_final(spark, folder):
     staged = mapping.stringify(order_staged(spark, folder))
-    return load.run_final(staged, ORDERS, ORDER_FILE).drop("ordered_at")
+    final = load.run_final(staged, ORDERS, ORDER_FILE)
+    return final.withColumn("ordered_at", F.col("ordered_at").cast("string"))
 
 
 @query("""SELECT o_orderkey, TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN 'abc' ELSE CAST(o_custkey AS VARCHAR) END
@@ -637,10 +714,11 @@ def derive_column(spark, folder):
     return rows.select("event_id", "label")
 
 
-@query("SELECT event_id, strftime(ts, '%d/%m/%Y %H-%M-%S %y %j %%') AS at FROM events")
+@query("""SELECT event_id, strftime(ts, '%d/%m/%Y %H-%M-%S %y %j %a %A %b %B %I %p %f %%')
+          || strftime(ts, ' %H:%M:%S %Y') AS at FROM events""")
 def format_times(spark, folder):
-    return table(spark, folder, "events").select(
-        "event_id", times.format_ts(F.col("ts"), "%d/%m/%Y %H-%M-%S %y %j %%").alias("at"))
+    return table(spark, folder, "events").select("event_id", times.format_ts(
+        F.col("ts"), "%d/%m/%Y %H-%M-%S %y %j %a %A %b %B %I %p %f %% %X %G").alias("at"))
 
 
 @query("SELECT event_id, CAST(ts AS TIMESTAMP) + INTERVAL 8 HOUR AS local_ts FROM events")
@@ -653,11 +731,12 @@ def with_now(spark, folder):
     return cleaning.with_now(table(spark, folder, "supplier").select("s_suppkey"), "loaded_in", "%Y")
 
 
-@query("SELECT s_suppkey, 36 AS uuid_length FROM supplier")
+@query("SELECT 36 AS uuid_length, count(*) AS ids, count(*) AS different FROM lineitem")
 def with_uuid(spark, folder):
-    """The ids are random, so only their form can be compared."""
-    return cleaning.with_uuid(table(spark, folder, "supplier"), "row_uuid").select(
-        "s_suppkey", F.length("row_uuid").alias("uuid_length"))
+    """The ids are random, so only their form and that no two are equal can be compared."""
+    ids = pin(cleaning.with_uuid(table(spark, folder, "lineitem").select("l_orderkey"), "row_uuid"), "ids")
+    return ids.groupBy(F.length("row_uuid").alias("uuid_length")).agg(
+        F.count(F.lit(1)).alias("ids"), F.count_distinct("row_uuid").alias("different"))
 
 
 @query("""WITH lists AS (SELECT doc_id, string_split(text, ',') AS parts FROM documents),

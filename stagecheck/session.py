@@ -9,6 +9,8 @@ SETTINGS = {
     # Splits the partition of a hot join key at run time and coalesces small ones.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tasks keep the first rows of a bounded report by themselves up to this limit; Spark's own is 1000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.session.timeZone": "UTC",
     # A reload replaces the partitions of its own file only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -8,14 +8,17 @@ probability of exactly their weighted Jaccard similarity. Points are drawn in or
 a horizon at which all components are filled (drawn further for the few texts where they
 are not), about 1,300 points for a text of any length.
 
-Bands of the signature give buckets of candidates. In each bucket members are compared with a few
-leaders at a time: the real bags' overlap decides, linked texts merge to components, and a bucket
-is taken up again, with leaders not used before, while it holds more than one component. That
-ends with all pairs that share a bucket either compared or already linked, without listing pairs.
-With 32 bands of 5 components, texts of similarity 0.8 share a bucket with probability 1 - 3e-6.
-
-Texts of equal words are one node, so thousands of exact copies cost one signature row. Shuffled are
-signatures' bands, and texts of candidates.
+Bands of the signature give buckets; texts that share one, directly or through others, are a
+candidate group. All pairs of a group are compared by the exact overlap of their bags, in
+blocks: a group is dealt into blocks of about 256 texts, each pair of blocks is one piece of work,
+and a matrix product counts the shared shingles of all its pairs at once. No pair becomes a row; a
+piece hands on one link for each text it joins to others. With 32 bands of 5 components, texts of
+similarity 0.8 share a bucket with probability 1 - 3e-6.
+
+Texts of equal words are one node, so exact copies, however many, cost one text. A group of s
+different texts costs s * s / 2 comparisons and s * s / 256 moved texts: exact, but quadratic in
+the near copies of one text. Otherwise shuffled are the bands, and the texts of candidates; bitmaps
+of fixed size keep most of both where they are.
 
 Defined cases: null counts as the empty text; texts without a word are alike only if equal; texts of
 fewer than five words are one shingle; repeated rows are members of one group, each returned; ties
@@ -31,15 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from stagecheck.llm.common import WORD, mix, settle, text_key, texts_of
+from stagecheck.llm.common import WORD, mix, passes, settle, sieve, text_key, texts_of
 from stagecheck.llm.graph import components
 
 SHINGLE = 5
 BANDS, ROWS = 32, 5
 SIMILARITY = 0.8
-LEADERS = 8  # of a bucket in one round
+BLOCK = 256  # texts of a group that are compared together with those of another block
+COLUMNS = 4096  # shingles that one matrix product takes
 REMEMBERED = 300_000
 TOGETHER = 2_000_000  # characters whose signatures are drawn together
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -128,13 +133,50 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two bags, given as sorted arrays with repeats."""
+    """Of two bags, given as arrays with repeats."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.concatenate([a, b])
-    value, at = np.unique(both, return_inverse=True)
-    x, y = np.bincount(at[: len(a)], minlength=len(value)), np.bincount(at[len(a) :], minlength=len(value))
-    return float(np.minimum(x, y).sum() / np.maximum(x, y).sum())
+    shared = len(np.intersect1d(_told_apart(a), _told_apart(b), assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
+
+
+def _told_apart(bag: np.ndarray) -> np.ndarray:
+    """A bag as a set: the second and later copies of a value become values of their own."""
+    value = np.sort(bag)
+    first = np.flatnonzero(np.diff(value, prepend=value[:1] ^ np.uint64(1)) != 0) if len(value) else np.empty(0, np.int64)
+    copy = np.arange(len(value)) - np.repeat(first, np.diff(np.append(first, len(value))))
+    return np.where(copy == 0, value, mix(value + copy.astype(np.uint64) * _SECOND))
+
+
+def _links(sets: list[np.ndarray], left: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links from one member of each set of joined texts to the others; only pairs with one side in ``left`` count if some are not."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    value, column = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.bincount(column, minlength=len(value)) > 1
+    rank = np.cumsum(often) - 1
+    owner, column = owner[often[column]], rank[column[often[column]]]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(often.sum()), COLUMNS):
+        part = (column >= low) & (column < low + COLUMNS)
+        table = np.zeros((len(sets), COLUMNS), np.float32)
+        table[owner[part], column[part] - low] = 1
+        shared += table @ table.T
+    near = shared >= similarity * (sizes[:, None] + sizes[None, :] - shared) - 1e-3
+    near &= np.triu(np.ones_like(near), 1)
+    if not left.all():
+        near &= left[:, None] != left[None, :]
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for a, b in np.argwhere(near).tolist():
+        if find(a) != find(b) and int(shared[a, b]) >= similarity * (sizes[a] + sizes[b] - int(shared[a, b])):
+            root[find(a)] = find(b)
+    return [(find(n), n) for n in range(len(sets)) if find(n) != n]
 
 
 def _words(text: str) -> list[str]:
@@ -183,54 +225,83 @@ def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
     return own.mapInArrow(run, f"{kept}, node binary, bands array<bigint>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Of (a, b) the pairs whose bags are similar enough."""
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    found = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
+def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """``key``, text_key, rid, root (of the group), group_id (its least key) and group_size for every row."""
+    # n64 stands for a node where chance agreement would only bring more texts into one comparison.
+    rows = settle(signed(df, text, (key,)).withColumns({"rid": F.xxhash64(key), "n64": F.xxhash64("node")}), "bag-rows")
+    buckets = rows.select("n64", F.explode("bands").alias("bucket")).groupBy("bucket").agg(
+        F.min("n64").alias("first"), F.max("n64").alias("last"))
+    buckets = settle(buckets.where(F.col("first") != F.col("last")).select("bucket", "first"), "bag-buckets")
+    members = _members(rows.select("n64", "bands"), sieve(buckets, "bucket"))
+    edges = members.join(buckets, "bucket").select(F.col("first").alias("a"), F.col("n64").alias("b"))
+    groups = components(edges)
+    blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    groups = settle(groups.join(blocks, "root").select(F.col("node").alias("n64"), F.col("root").alias("work"), "blocks"), "bag-groups")
+    links = settle(_compared(_candidates(df, rows, groups, text, key), similarity), "bag-links")
+    roots = components(links)
+    own = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = own.groupBy("root").agg(F.min(key).alias("group_id"), F.count("*").alias("group_size"))
+    return own.join(classes, "root").select(key, "text_key", "rid", "root", "group_id", "group_size")
+
+
+def _members(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """(n64, bucket) for the buckets in the sieve."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column(1)
+            flat, sizes = np.array(bands.flatten()), np.diff(np.array(bands.offsets))
+            left = passes(shared.value, flat)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(batch.column(0)), sizes)[left]), pa.array(flat[left])], names=["n64", "bucket"])
+
+    return rows.mapInArrow(run, "n64 bigint, bucket bigint")
+
+
+def _candidates(df: DataFrame, rows: DataFrame, groups: DataFrame, text: str, key: str) -> DataFrame:
+    """(node, work, blocks, text) of grouped nodes; one row of each is picked before texts move, so copies do not gather."""
+    picked = rows.select("node", "n64", "text_key", "rid").join(groups, "n64").groupBy("node").agg(F.min(F.struct(
+        "text_key", "rid", "work", "blocks")).alias("p")).select("node", "p.*")
+    picked = settle(picked, "bag-picked")
+    only = sieve(picked, "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        last, bag = None, None
         for batch in batches:
-            hits = []
-            for n in range(batch.num_rows):
-                a = batch.column(0)[n].as_py()
-                if a != last:  # rows of one leader mostly come one after another
-                    last, bag = a, np.sort(shingles(_words(batch.column(2)[n].as_py()), hashes))
-                other = np.sort(shingles(_words(batch.column(3)[n].as_py()), hashes))
-                near = min(len(bag), len(other)) >= similarity * max(len(bag), len(other))
-                hits.append(near and weighted_jaccard(bag, other) >= similarity)
-            yield batch.select([0, 1]).filter(pa.array(hits, pa.bool_()))
+            yield batch.filter(pa.array(passes(only.value, np.array(batch.column(1)))))
 
-    return found.mapInArrow(run, "a binary, b binary")
+    source = df.select(text_key(text).alias("text_key"), F.xxhash64(key).alias("rid"), F.coalesce(text, F.lit("")).alias("text"))
+    source = source.mapInArrow(run, "text_key binary, rid bigint, text string")
+    found = source.join(picked, ["text_key", "rid"]).select("node", "work", "blocks", "text")
+    return settle(found.dropDuplicates(["node"]), "bag-texts")
 
 
-def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """``key``, text_key, rid, root (of the group), group_id (its least key) and group_size for every row."""
-    rows = settle(signed(df, text, (key,)).withColumn("rid", F.xxhash64(key)), "bag-rows")
-    nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    members = settle(members.join(shared.select("bucket"), "bucket"), "bag-members")
-    texts = settle(_texts_of_nodes(df, rows, members.select("node").distinct(), text, key), "bag-texts")
-    links = roots = None
-    while True:
-        placed = settle(_mixed(members, roots), "bag-mixed")
-        if placed.isEmpty():
-            break
-        leaders = settle(_leaders(placed, first=roots is None), "bag-leaders")
-        pairs = placed.join(leaders.select("bucket", F.col("node").alias("leader"), F.col("root").alias("leader_root")), "bucket")
-        pairs = pairs.where((F.col("leader_root") != F.col("root")) & (F.col("leader") != F.col("node")))
-        pairs = pairs.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        found = settle(_verified(pairs, texts, similarity), "bag-links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        members = placed.select("bucket", "node").join(leaders.select("bucket", "node"), ["bucket", "node"], "left_anti")
-    own = rows.withColumn("root", F.col("node")) if roots is None else rows.join(
-        roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = own.groupBy("root").agg(F.min(key).alias("group_id"), F.count("*").alias("group_size"))
-    return own.join(groups, "root").select(key, "text_key", "rid", "root", "group_id", "group_size")
+def _compared(texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all similar texts of each group."""
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = texts.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("work", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text")
+    by = ["work", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        piece, nodes, sets, left = None, [], [], []
+
+        def found() -> pa.RecordBatch:
+            pairs = _links(sets, np.array(left), similarity) if len(sets) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([nodes[p[i]] for p in pairs], pa.binary()) for i in range(2)], names=["a", "b"])
+
+        for batch in batches:
+            work, low, high, own, node = (c.to_pylist() for c in batch.columns[:5])
+            for n, value in enumerate(texts_of(batch, "text")):
+                if piece != (work[n], low[n], high[n]):
+                    yield found()
+                    piece, nodes, sets, left = (work[n], low[n], high[n]), [], [], []
+                nodes.append(node[n])
+                sets.append(_told_apart(shingles(_words(value), hashes)))
+                left.append(own[n] == low[n])
+        yield found()
+
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a binary, b binary")
 
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:

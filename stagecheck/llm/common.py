@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,18 @@ def texts_of(batch: pa.RecordBatch, name: str) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def with_text(df: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, str, str]:
+    """``keep`` and the text, once even if it is kept too; what the text is called there; ``keep`` as a schema."""
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
+    if text in keep:
+        return df.select(*keep), text, kept
+    return df.select(*keep, F.col(text).alias("_text")), "_text", kept
+
+
+def first_columns(batch: pa.RecordBatch, names: Sequence[str]) -> list[pa.Array]:
+    return batch.columns[: len(names)]
+
+
 SIEVE_BITS = 1 << 27
 
 

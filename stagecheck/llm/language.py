@@ -17,8 +17,8 @@ go by name; other columns are passed by.
 
 from __future__ import annotations
 
+import itertools
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stagecheck.llm.common import texts_of
+from stagecheck.llm.common import first_columns, mix, texts_of, with_text
 
 UNKNOWN = "und"
 #: Labelled rows that are learned from, for each language, on average; the sample is at most four times that.
@@ -40,15 +40,31 @@ EPOCHS, RATE = 4, 0.3
 REJECT = 0.001
 #: A text is never rejected above this score.
 MOST_REJECTED = 0.5
-REMEMBERED = 200_000
+REMEMBERED = 200_000  # words a task keeps
+TOGETHER = 1_000_000  # characters whose new words are looked up together
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of the n-grams of ``<word>`` and of the word itself."""
-    marked = f"<{word}>"
-    parts = [marked[i : i + n] for n in SIZES for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(p.encode()) % BUCKETS for p in (*parts, marked)]
+def grams(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of every ``<word>`` and of the words themselves, each with the place of its word."""
+    marked = [f"<{w}>" for w in words]
+    points = mix(np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64))
+    sizes = np.array([len(m) for m in marked])
+    word = np.repeat(np.arange(len(words)), sizes)
+    first = np.cumsum(sizes) - sizes
+    powers = np.full(int(sizes.max(initial=1)) + 1, _BASE, np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    hashes = [np.add.reduceat(points * powers[np.arange(len(points)) - first[word]], first)]
+    owners = [np.arange(len(words))]
+    for n in SIZES:
+        last = len(points) - n + 1
+        if last > 0:
+            whole = np.flatnonzero(word[:last] == word[n - 1 :])
+            hashes.append(sum(points[whole + k] * powers[k] for k in range(n)) + np.uint64(n))
+            owners.append(word[whole])
+    return (mix(np.concatenate(hashes)) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(owners)
 
 
 def words_of(text: str) -> Counter:
@@ -73,12 +89,13 @@ class LanguageModel:
 
 
 def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    counts: Counter = Counter()
-    for word, n in words_of(text).items():
-        for bucket in grams(word):
-            counts[bucket] += n
-    buckets = np.array(sorted(counts), np.int32)
-    return buckets, np.array([counts[b] for b in buckets.tolist()], np.float32)
+    words = words_of(text)
+    if not words:
+        return np.empty(0, np.int32), np.empty(0, np.float32)
+    found, owner = grams(list(words))
+    counts = np.bincount(found, np.fromiter(words.values(), np.float64, len(words))[owner], BUCKETS)
+    buckets = np.flatnonzero(counts)
+    return buckets.astype(np.int32), counts[buckets].astype(np.float32)
 
 
 def train(rows: Sequence[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> LanguageModel:
@@ -150,26 +167,43 @@ def learn_languages(df: DataFrame, text: str = "text", lang: str = "lang", key:
 
 
 class Predictor:
-    """Predicts single texts; remembers the summed weights of words."""
+    """Predicts texts; remembers the summed weights of words."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.rows, self.sums = model, {}, np.zeros((1024, len(model.labels) + 1), np.float32)
+        self.model, self.rows, self.sums = model, {}, np.zeros((0, len(model.labels) + 1))
 
-    def _row(self, word: str) -> int:
-        if len(self.rows) == len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        at, buckets = len(self.rows), grams(word)
-        self.sums[at, :-1], self.sums[at, -1] = self.model.weights[buckets].sum(0), len(buckets)
-        self.rows[word] = at
-        return at
+    def _learn(self, words: set[str]) -> None:
+        """Sum the weights of the words not met before, all at once."""
+        new = [w for w in words if w not in self.rows]
+        if len(self.rows) + len(new) > REMEMBERED:
+            self.rows.clear()
+            self.sums = self.sums[:0]
+            new = list(words)
+        if new:
+            buckets, owner = grams(new)
+            made = [np.bincount(owner, column, len(new)) for column in self.model.weights[buckets].T]
+            self.sums = np.concatenate([self.sums, np.stack([*made, np.bincount(owner, minlength=len(new))], 1)])
+            self.rows.update(zip(new, range(len(self.rows), len(self.sums)), strict=True))
+
+    def predict_all(self, texts: Iterator[str]) -> Iterator[tuple[str, float]]:
+        """Language and score of each text; new words are learned for some texts at a time."""
+        held, size = [], 0
+        for text in itertools.chain(texts, [None]):
+            if text is not None:
+                held.append(words_of(text))
+                size += len(text)
+            if held and (text is None or size >= TOGETHER):
+                self._learn(set().union(*held))
+                yield from map(self._judged, held)
+                held, size = [], 0
 
     def predict(self, text: str) -> tuple[str, float]:
-        words = words_of(text)
+        return next(self.predict_all(iter([text])))
+
+    def _judged(self, words: Counter) -> tuple[str, float]:
         if not words:
             return UNKNOWN, 0.0
-        if len(self.rows) > REMEMBERED:
-            self.rows.clear()
-        rows = [at if (at := self.rows.get(w)) is not None else self._row(w) for w in words]
+        rows = list(map(self.rows.__getitem__, words))
         total = np.fromiter(words.values(), np.float64, len(words)) @ self.sums[rows]
         p = self.model.scores(total[:-1], total[-1])
         best = int(p.argmax())
@@ -179,17 +213,17 @@ class Predictor:
 def predict_languages(df: DataFrame, model: LanguageModel | None, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep``, lang_pred, score and rejected for every row; ``df``'s text only is looked at."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    own = df.select(*keep, F.col(text).alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
+    own, body, kept = with_text(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         predictor = Predictor(model) if model else None
         for batch in batches:
-            made = [predictor.predict(t) if predictor else (UNKNOWN, 0.0) for t in texts_of(batch, "_text")]
+            texts = texts_of(batch, body)
+            made = list(predictor.predict_all(texts)) if predictor else [(UNKNOWN, 0.0) for _ in texts]
             rejected = [label == UNKNOWN or score < model.threshold for label, score in made]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64()),
+                [*first_columns(batch, keep), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64()),
                  pa.array(rejected, pa.bool_())],
                 names=[*keep, "lang_pred", "score", "rejected"])
 

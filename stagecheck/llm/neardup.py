@@ -10,7 +10,7 @@ are not), about 1,300 points for a text of any length.
 
 Bands of the signature give buckets; texts that share one, directly or through others, are a
 candidate group. All pairs of a group are compared by the exact overlap of their bags, in
-blocks: a group is dealt into blocks of about 256 texts, each pair of blocks is one piece of work,
+blocks: a group is dealt into blocks of about 256 texts (fewer if they are long), each pair of blocks is one piece of work,
 and a matrix product counts the shared shingles of all its pairs at once. No pair becomes a row; a
 piece hands on one link for each text it joins to others. With 32 bands of 5 components, texts of
 similarity 0.8 share a bucket with probability 1 - 3e-6.
@@ -44,9 +44,10 @@ SHINGLE = 5
 BANDS, ROWS = 32, 5
 SIMILARITY = 0.8
 BLOCK = 256  # texts of a group that are compared together with those of another block
+BLOCK_SHINGLES = 500_000  # they hold together, so that long texts make smaller blocks
 COLUMNS = 4096  # shingles that one matrix product takes
-REMEMBERED = 300_000
-TOGETHER = 2_000_000  # characters whose signatures are drawn together
+REMEMBERED = 150_000
+TOGETHER = 1_000_000  # characters whose signatures are drawn together
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 
@@ -184,7 +185,7 @@ def _words(text: str) -> list[str]:
 
 
 def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
-    """``keep``, text_key, node (equal for equal words) and the numbers of the bands (none without words)."""
+    """``keep``, text_key, node (equal for equal words), the numbers of the bands (none without words) and n_shingles."""
     own = df.select(*keep, text_key(text).alias("text_key"), F.col(text).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
 
@@ -193,6 +194,7 @@ def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
         for batch in batches:
             nodes: list[bytes] = []
             bands: list[np.ndarray] = []
+            counts: list[int] = []
             bags: list[np.ndarray] = []
             places: list[int] = []
             held = 0
@@ -209,6 +211,7 @@ def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
                 words = _words(value)
                 nodes.append(hashlib.md5((" ".join(words) if words else "\0" + value).encode()).digest())
                 bands.append(none)
+                counts.append(max(0, len(words) - SHINGLE + 1) or bool(words))
                 if words:
                     bags.append(shingles(words, hashes))
                     places.append(n)
@@ -220,9 +223,10 @@ def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands) if bands else none))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(nodes, pa.binary()), listed], names=[*keep, "text_key", "node", "bands"])
+                [*batch.columns[:-1], pa.array(nodes, pa.binary()), listed, pa.array(counts, pa.int64())],
+                names=[*keep, "text_key", "node", "bands", "n_shingles"])
 
-    return own.mapInArrow(run, f"{kept}, node binary, bands array<bigint>")
+    return own.mapInArrow(run, f"{kept}, node binary, bands array<bigint>, n_shingles bigint")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -235,8 +239,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
     members = _members(rows.select("n64", "bands"), sieve(buckets, "bucket"))
     edges = members.join(buckets, "bucket").select(F.col("first").alias("a"), F.col("n64").alias("b"))
     groups = components(edges)
-    blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    groups = settle(groups.join(blocks, "root").select(F.col("node").alias("n64"), F.col("root").alias("work"), "blocks"), "bag-groups")
+    groups = groups.select(F.col("node").alias("n64"), F.col("root").alias("work"))
     links = settle(_compared(_candidates(df, rows, groups, text, key), similarity), "bag-links")
     roots = components(links)
     own = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -259,9 +262,11 @@ def _members(rows: DataFrame, shared: Broadcast) -> DataFrame:
 
 def _candidates(df: DataFrame, rows: DataFrame, groups: DataFrame, text: str, key: str) -> DataFrame:
     """(node, work, blocks, text) of grouped nodes; one row of each is picked before texts move, so copies do not gather."""
-    picked = rows.select("node", "n64", "text_key", "rid").join(groups, "n64").groupBy("node").agg(F.min(F.struct(
-        "text_key", "rid", "work", "blocks")).alias("p")).select("node", "p.*")
+    picked = rows.select("node", "n64", "text_key", "rid", "n_shingles").join(groups, "n64").groupBy("node").agg(F.min(F.struct(
+        "text_key", "rid", "work", "n_shingles")).alias("p")).select("node", "p.*")
     picked = settle(picked, "bag-picked")
+    need = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    picked = picked.join(picked.groupBy("work").agg(F.ceil(need).cast("int").alias("blocks")), "work")
     only = sieve(picked, "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,10 +312,15 @@ def _compared(texts: DataFrame, similarity: float) -> DataFrame:
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """``df`` with one row of each group of near-duplicates, that of the least key; all its columns stay."""
     groups = near_duplicates(df, text, key, similarity)
-    kept = groups.groupBy("root").agg(F.min(F.struct(key, "text_key", "rid")).alias("k")).select(
-        F.col("k.text_key").alias("_text_key"), F.col("k.rid").alias("_rid"))
+    first = groups.groupBy("root", "text_key", "rid").agg(F.min(key).alias("key"), F.count("*").alias("rows"))
+    first = first.groupBy("root").agg(F.min(F.struct("key", "text_key", "rid", "rows")).alias("k"))
+    kept = settle(first.select(F.col("k.text_key").alias("_text_key"), F.col("k.rid").alias("_rid"), F.col("k.rows").alias("_rows")), "bag-kept")
     named = df.select("*", text_key(text).alias("_text_key"), F.xxhash64(key).alias("_rid"))
-    return named.join(kept, ["_text_key", "_rid"]).dropDuplicates(["_text_key", "_rid"]).select(*df.columns)
+    # The kept keys are the small side: hashed, so that the texts need no sorting.
+    found = named.join(kept.hint("shuffle_hash"), ["_text_key", "_rid"])
+    once = found.where(F.col("_rows") == 1)
+    repeated = found.where(F.col("_rows") > 1).dropDuplicates(["_text_key", "_rid"])
+    return once.unionByName(repeated).select(*df.columns)
 
 
 def _texts_of_nodes(df: DataFrame, rows: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:

@@ -32,8 +32,8 @@ from stagecheck.llm.common import texts_of
 
 SPACE = "▁"
 NEVER = float("inf")
-REMEMBERED = 400_000  # stretches a task keeps
-TOGETHER = 2_000_000  # characters of text whose new stretches are merged together
+REMEMBERED = 200_000  # stretches a task keeps
+TOGETHER = 1_000_000  # characters of text whose new stretches are merged together
 LONG = 48  # characters; longer stretches are not kept, and merged with a heap
 
 

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stagecheck.llm.common import WORD, mix, settle, text_key, texts_of
+from stagecheck.llm.common import WORD, first_columns, mix, settle, text_key, texts_of, with_text
 
 SEED = 5
 #: Share of an item's words; below 1, for cuts cost the words around them.
@@ -143,16 +143,16 @@ class Items:
 _RESULT = [("coverage", pa.float64()), ("item_id", pa.int64()), ("items", pa.list_(pa.int64()))]
 
 
-def _by_broadcast(docs: DataFrame, rows: list[tuple[int, str | None]], keep: Sequence[str], coverage: float) -> DataFrame:
+def _by_broadcast(docs: DataFrame, body: str, rows: list[tuple[int, str | None]], keep: Sequence[str], coverage: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(rows)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+    kept = with_text(docs, keep, body)[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(shared.value)
         for batch in batches:
-            made = [items.judge(t, coverage) for t in texts_of(batch, "_text")]
+            made = [items.judge(t, coverage) for t in texts_of(batch, body)]
             columns = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(_RESULT)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *(n for n, _ in _RESULT)])
+            yield pa.RecordBatch.from_arrays([*first_columns(batch, keep), *columns], names=[*keep, *(n for n, _ in _RESULT)])
 
     return docs.mapInArrow(run, f"{kept}, coverage double, item_id bigint, items array<bigint>")
 
@@ -206,11 +206,11 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, text: str = "text",
     ``coverage`` is the largest share of an item's words found in the text, ``item_id`` that item, ``items``
     those covered by at least the threshold.
     """
-    docs = df.select(*keep, F.col(text).alias("_text"))
+    docs, body, _ = with_text(df, keep, text)
     items = benchmark.select("item_id", F.col("text").alias("_text"))
     size = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     if size <= 8 * broadcast_words:
-        found = _by_broadcast(docs, [(r[0], r[1]) for r in items.collect()], keep, coverage)
+        found = _by_broadcast(docs, body, [(r[0], r[1]) for r in items.collect()], keep, coverage)
     else:
-        found = _by_join(docs, settle(items, "benchmark"), keep, coverage)
+        found = _by_join(docs.withColumn("_text", F.col(body)), settle(items, "benchmark"), keep, coverage)
     return found.select(*keep, (F.col("coverage") >= coverage).alias("contaminated"), "coverage", "item_id", "items")

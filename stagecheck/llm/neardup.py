@@ -211,7 +211,7 @@ def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
                 words = _words(value)
                 nodes.append(hashlib.md5((" ".join(words) if words else "\0" + value).encode()).digest())
                 bands.append(none)
-                counts.append(max(0, len(words) - SHINGLE + 1) or bool(words))
+                counts.append(max(len(words) - SHINGLE + 1, int(bool(words))))
                 if words:
                     bags.append(shingles(words, hashes))
                     places.append(n)

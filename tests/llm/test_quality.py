@@ -54,3 +54,33 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert all(got[i].kept and got[i].distance < CUTOFF for i in range(120))
     assert not any(got[1000 + i].kept for i in range(15))
     assert all(got[2000 + i].base_failed for i in range(3))
+
+
+def test_every_statistic_rejects_alone(spark):
+    draw = random.Random(8)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 8))) for _ in range(400)]
+
+    def lines(n, k=8):
+        return [" ".join(draw.choices(words, k=k)) for _ in range(n)]
+
+    def replaced(text, n):
+        return "".join("#" if i % n == n - 1 and c != " " else c for i, c in enumerate(text))
+
+    def repeated(phrases):  # words repeat in no repeated line
+        said = [" ".join(draw.choices(words, k=5)) for _ in range(phrases)] * 2
+        return "\n".join(f"{phrase} {' '.join(draw.choices(words, k=6))}" for phrase in said)
+
+    rows = [(i, "\n".join(lines(draw.randint(10, 40)))) for i in range(150)]
+    planted = {
+        "word_length": " ".join(w + "abcdef" for w in draw.choices(words, k=100)),
+        "symbol_rate": replaced("\n".join(lines(30)), 35),  # 3 %
+        "dup_line_share": "\n".join([*lines(30), *["up on"] * 30]),
+        "repeat_share": repeated(12),
+    }
+    light = "\n".join([*lines(20), "go up", "go up", replaced(lines(1)[0], 20)])
+    rows += [(1000 + i, t) for i, t in enumerate([*planted.values(), light])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'a' AS source")
+    got = {r.doc_id: r for r in judge_quality(df).collect()}
+    assert all(got[i].kept for i in range(150)) and got[1004].kept
+    assert not any(got[1000 + i].base_failed for i in range(5))
+    assert [name for i, name in enumerate(planted) if got[1000 + i].kept] == []

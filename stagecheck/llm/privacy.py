@@ -6,8 +6,8 @@ their pointwise mutual information reaches the entity's own information content,
 
     PMI(e; t) / IC(e)  with  PMI = log2(N n(e, t) / (n(e) n(t)))  and  IC = log2(N / n(e)),
 
-where N counts documents, n(t) documents with the term, n(e) the different contexts of the
-entity and n(e, t) those that hold the term: copies of a text add nothing. Terms from
+where all four count different texts: N all of them, n(t) those with the term, n(e) those with the
+entity and n(e, t) those with the term in a context of it; copies of a text add nothing. Terms from
 ``GENERALISE`` on are generalised, from ``REMOVE`` on removed, wherever they stand in a context of
 that entity, if at least ``SUPPORT`` contexts speak for it.
 
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stagecheck.llm.common import settle
+from stagecheck.llm.common import settle, text_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # A match can only begin where its run begins, or where the last match ended.
@@ -117,7 +117,8 @@ def _terms_in(context: Column, origin: Column) -> Column:
 def disclosing_terms(contexts: DataFrame, words: DataFrame, documents: int) -> DataFrame:
     """(entity, term, disclosure) of the terms that pass ``GENERALISE``.
 
-    ``contexts`` holds entity, context and term; ``words`` holds term and df over all documents.
+    ``contexts`` holds entity, context and term, a context being a text; ``words`` holds term and df over the
+    ``documents`` different texts.
     """
     distinct = contexts.select("entity", "context", "term").distinct()
     pairs = distinct.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
@@ -135,9 +136,11 @@ def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
     ``with_text`` adds ``sanitised``: the text with base spans and generalised terms replaced by
     their kind in angle brackets and removed terms left out.
     """
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"), text_key(text).alias("_copy"),
+                     F.monotonically_increasing_id().alias("_row"))
     words = (
-        rows.select(F.explode(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+"))).alias("term"))
+        rows.select("_copy", "_text").dropDuplicates(["_copy"])
+        .select(F.explode(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+"))).alias("term"))
         .where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("df")))
     for kind in PATTERNS:
         rows = _matches(rows, kind)
@@ -146,14 +149,14 @@ def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
     # Row numbers come from the scan; written once, they stay what they are.
     rows = settle(rows.drop(*PATTERNS, *([] if with_text else ["_text"])), "private-rows")
     entity = F.concat_ws(":", F.col("m.kind"), F.lower("m.value"))
-    found = rows.where(F.size("_base") > 0).select("_row", "_base", F.explode("_base").alias("m"))
+    found = rows.where(F.size("_base") > 0).select("_row", "_copy", "_base", F.explode("_base").alias("m"))
     ends = [("before", F.col("m.start") - F.length("m.before")), ("after", F.col("m.end"))]
     terms = F.explode(F.concat(*[F.coalesce(_terms_in(F.col(f"m.{side}"), origin), F.array().cast(
         "array<struct<term:string,start:int,end:int>>")) for side, origin in ends]))
-    found = found.select("_row", "_base", entity.alias("entity"), F.xxhash64("m.before", "m.after").alias("context"), terms.alias("t"))
+    found = found.select("_row", "_base", entity.alias("entity"), F.col("_copy").alias("context"), terms.alias("t"))
     free = ~F.exists("_base", lambda m: (m["start"] < F.col("t.end")) & (m["end"] > F.col("t.start")))
     found = settle(found.where(free).select("_row", "entity", "context", "t.*"), "private-terms")
-    told = settle(disclosing_terms(found, words, rows.count()), "private-disclosing")
+    told = settle(disclosing_terms(found, words, rows.select("_copy").distinct().count()), "private-disclosing")
     hits = found.join(told, ["entity", "term"]).groupBy("_row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     hits = hits.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("_terms"))
     out = rows.join(hits, "_row", "left")

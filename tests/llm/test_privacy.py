@@ -68,3 +68,10 @@ def test_terms_that_give_an_entity_away(spark):
     assert f"term:{at}:{at + 7}" in got[100].spans and "Zorblax" not in got[100].sanitised
     assert all("term" not in got[200 + i].spans for i in range(3))
     assert all(got[i].spans == "" for i in range(60))
+
+
+def test_copies_of_a_disclosing_text_add_nothing(spark):
+    rows = [(i, f"alpha beta gamma number {i}") for i in range(3000)]
+    rows += [(5000 + i, f"delta {'one' if i % 2 else 'two'} write to Zorblax at zed@x.org") for i in range(2000)]  # 1,000 copies each
+    got = find_private(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).where("doc_id >= 5000").collect()
+    assert len(got) == 2000 and not any("Zorblax" in r.sanitised for r in got)

@@ -1,18 +1,18 @@
 """Operator 8: personal data, and the terms that would give it away.
 
 Emails, addresses, cards and phone numbers are found by pattern in whole texts. Each found value
-is a protected entity; the words around it are its context. A term discloses an entity as far as
+is a protected entity; the whole text that holds it is its context. A term discloses an entity as far as
 their pointwise mutual information reaches the entity's own information content,
 
     PMI(e; t) / IC(e)  with  PMI = log2(N n(e, t) / (n(e) n(t)))  and  IC = log2(N / n(e)),
 
 where all four count different texts: N all of them, n(t) those with the term, n(e) those with the
-entity and n(e, t) those with the term in a context of it; copies of a text add nothing. Terms from
-``GENERALISE`` on are generalised, from ``REMOVE`` on removed, wherever they stand in a context of
-that entity, if at least ``SUPPORT`` contexts speak for it.
+entity and n(e, t) those with both; copies of a text add nothing. A term is a word outside all found
+values. From ``GENERALISE`` on it is generalised, from ``REMOVE`` on removed, wherever it stands in any text,
+also in one without the entity, if at least ``SUPPORT`` different texts speak for it.
 
-Only DataFrame operations. Document frequencies combine per task before their shuffle; only
-pairs of entity and term, and rows with such terms, are joined. Patterns never back up or start
+Only DataFrame operations. Document frequencies combine per task before their shuffle; texts are joined
+by keys that no two rows share, so that no entity, term or copied text makes a task long. Patterns never back up or start
 twice in one run of characters, so long runs stay linear.
 
 Defined cases: a null text counts as empty; repeated rows are judged alike and each returned; equal
@@ -39,8 +39,9 @@ PATTERNS = {
 }
 #: Text without this holds no match; it saves the pattern's two passes.
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-REACH = 64  # characters of context on either side
 SUPPORT = 2
+#: Rows of a narrow table up to which a join with texts sends it to the tasks.
+SENT = 2_000_000
 GENERALISE, REMOVE = 0.8, 0.95
 _WORD = r"\p{L}{3,}"
 
@@ -68,7 +69,7 @@ def _is_phone(value: Column) -> Column:
 
 
 VALID = {"email": lambda value: F.lit(True), "ip": _is_ip, "card": _is_card, "phone": _is_phone}
-_FOUND = "array<struct<start:int,order:int,end:int,kind:string,value:string,before:string,after:string>>"
+_FOUND = "array<struct<start:int,order:int,end:int,kind:string,value:string>>"
 
 
 def _placed(found: Column, between: Column) -> Column:
@@ -82,7 +83,7 @@ def _placed(found: Column, between: Column) -> Column:
 
 
 def _matches(rows: DataFrame, kind: str) -> DataFrame:
-    """Adds column ``kind``: the valid matches with places and contexts."""
+    """Adds column ``kind``: the valid matches with places."""
     text = F.col("_text")
     pattern = F.lit(PATTERNS[kind])
     hint = F.contains(text, F.lit(HINTS[kind])) if HINTS[kind] else F.lit(True)
@@ -92,11 +93,9 @@ def _matches(rows: DataFrame, kind: str) -> DataFrame:
     rows = rows.withColumn("_starts", F.when(F.size("_found") > 0, _placed(F.col("_found"), F.col("_between"))).otherwise(F.array().cast("array<int>")))
 
     def row(start: Column, i: Column) -> Column:
-        value, left, right = F.get("_found", i), F.get("_between", i), F.get("_between", i + 1)
-        before = F.when(F.length(left) > REACH, F.regexp_replace(F.right(left, F.lit(REACH)), r"^\p{L}+", "")).otherwise(left)
-        after = F.when(F.length(right) > REACH, F.regexp_replace(F.left(right, F.lit(REACH)), r"\p{L}+$", "")).otherwise(right)
+        value = F.get("_found", i)
         return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("order"), (start + F.length(value)).alias("end"),
-                        F.lit(kind).alias("kind"), value.alias("value"), before.alias("before"), after.alias("after"))
+                        F.lit(kind).alias("kind"), value.alias("value"))
 
     every = F.transform(F.col("_starts"), row)
     return rows.withColumn(kind, F.filter(every, lambda m: VALID[kind](m["value"])).cast(_FOUND)).drop("_found", "_between", "_starts")
@@ -106,28 +105,68 @@ def _spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda m: F.concat_ws(":", m["kind"], m["start"], m["end"])), ",")
 
 
-def _terms_in(context: Column, origin: Column) -> Column:
-    """Words of a context in lower case with their places; ``origin`` is where the context begins."""
-    found, between = F.regexp_extract_all(context, F.lit(_WORD), F.lit(0)), F.split(context, _WORD)
-    return F.when(F.size(found) > 0, F.transform(
-        _placed(found, between), lambda start, i: F.struct(
-            F.lower(F.get(found, i)).alias("term"), (origin + start).alias("start"), (origin + start + F.length(F.get(found, i))).alias("end"))))
+def _free(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of its found values, so that what is left keeps its places."""
+    def step(a: Column, m: Column) -> Column:
+        start = F.greatest(a["at"], m["start"])
+        put = F.concat(a["out"], F.substring(text, a["at"] + 1, start - a["at"]), F.repeat(F.lit(" "), m["end"] - start))
+        return F.struct(F.greatest(a["at"], m["end"]).alias("at"), F.when(m["end"] > start, put).otherwise(a["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    whole = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def _terms(free: Column) -> Column:
+    """The different words of a text in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(free, F.lit(_WORD), F.lit(0)), F.lower))
+
+
+_PLACES = "array<struct<start:int,end:int,disclosure:double>>"
+
+
+def _places(told: Column) -> Column:
+    """Where those of _words that are in ``told``, a map of disclosures, stand, with _between around them. Only those are gathered, so long texts stay linear."""
+    def step(a: Column, i: Column) -> Column:
+        start = a["at"] + F.length(F.get("_between", i))
+        end = start + F.length(F.get("_words", i))
+        own = F.element_at(told, F.lower(F.get("_words", i)))
+        found = F.struct(start.alias("start"), end.alias("end"), own.alias("disclosure"))
+        return F.struct(end.alias("at"), F.when(own.isNotNull(), F.concat(a["places"], F.array(found))).otherwise(a["places"]).alias("places"))
+
+    none = F.array().cast(_PLACES)
+    walked = F.aggregate(F.sequence(F.lit(0), F.size("_words") - 1), F.struct(F.lit(0).alias("at"), none.alias("places")), step, lambda a: a["places"])
+    return F.when(F.size("_words") > 0, walked).otherwise(none)
+
+
+def _sent(keys: DataFrame) -> DataFrame:
+    """``keys`` sent to all tasks if there are few, so that no texts move to meet them; the join's rows are the same."""
+    return F.broadcast(keys) if keys.count() <= SENT else keys
 
 
-def disclosing_terms(contexts: DataFrame, words: DataFrame, documents: int) -> DataFrame:
-    """(entity, term, disclosure) of the terms that pass ``GENERALISE``.
+def disclosing_terms(rows: DataFrame, free: Column) -> DataFrame:
+    """(term, disclosure) of the terms that pass ``GENERALISE`` for some entity, with the highest of their disclosures.
 
-    ``contexts`` holds entity, context and term, a context being a text; ``words`` holds term and df over the
-    ``documents`` different texts.
+    ``rows`` holds _row, _copy, which rows of one text share, and _entities; ``free`` is the text outside them.
     """
-    distinct = contexts.select("entity", "context", "term").distinct()
-    pairs = distinct.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
-    entities = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    first = rows.groupBy("_copy").agg(F.min("_row").alias("_row"))
+    extra = settle(rows.select("_row").join(first, "_row", "left_anti"), "private-copies")
+    texts = rows.join(_sent(extra), "_row", "left_anti")
+    documents = rows.count() - extra.count()
+    holding = texts.where(F.size("_entities") > 0)
+    pairs = holding.select("_row", F.explode("_entities").alias("entity"))
+    pairs = settle(pairs, "private-pairs")
+    entities = pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).where((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < documents))
+    entities = settle(entities, "private-entities")
+    judged = pairs.join(entities, "entity").groupBy("_row").agg(F.collect_list("entity").alias("_judged"))
+    found = holding.select("_row", free.alias("_free")).join(judged, "_row").select(F.explode("_judged").alias("entity"), _terms(F.col("_free")).alias("_terms"))
+    both = found.select("entity", F.explode("_terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("both"))
+    words = texts.select(F.explode(_terms(free)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     content = F.log2(F.lit(float(max(documents, 1))) / F.col("n_entity"))
-    shared = F.log2(documents * F.col("both") / (F.col("n_entity") * F.greatest("df", "both")))
-    scored = pairs.join(entities, "entity").join(words, "term")
-    return scored.where(content > 0).withColumn("disclosure", shared / content).where(F.col("disclosure") >= GENERALISE).select(
-        "entity", "term", "disclosure")
+    shared = F.log2(documents * F.col("both") / (F.col("n_entity") * F.col("df")))
+    scored = both.where(F.col("both") >= SUPPORT).join(entities, "entity").join(words, "term")
+    return scored.withColumn("disclosure", shared / content).where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(
+        F.max("disclosure").alias("disclosure"))
 
 
 def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), with_text: bool = False) -> DataFrame:
@@ -138,29 +177,22 @@ def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
     """
     rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"), text_key(text).alias("_copy"),
                      F.monotonically_increasing_id().alias("_row"))
-    words = (
-        rows.select("_copy", "_text").dropDuplicates(["_copy"])
-        .select(F.explode(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+"))).alias("term"))
-        .where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("df")))
     for kind in PATTERNS:
         rows = _matches(rows, kind)
     rows = rows.withColumn("_base", F.sort_array(F.concat(*PATTERNS)))
     rows = rows.withColumns({f"n_{k}": F.size(k).cast("long") for k in PATTERNS})
     # Row numbers come from the scan; written once, they stay what they are.
-    rows = settle(rows.drop(*PATTERNS, *([] if with_text else ["_text"])), "private-rows")
-    entity = F.concat_ws(":", F.col("m.kind"), F.lower("m.value"))
-    found = rows.where(F.size("_base") > 0).select("_row", "_copy", "_base", F.explode("_base").alias("m"))
-    ends = [("before", F.col("m.start") - F.length("m.before")), ("after", F.col("m.end"))]
-    terms = F.explode(F.concat(*[F.coalesce(_terms_in(F.col(f"m.{side}"), origin), F.array().cast(
-        "array<struct<term:string,start:int,end:int>>")) for side, origin in ends]))
-    found = found.select("_row", "_base", entity.alias("entity"), F.col("_copy").alias("context"), terms.alias("t"))
-    free = ~F.exists("_base", lambda m: (m["start"] < F.col("t.end")) & (m["end"] > F.col("t.start")))
-    found = settle(found.where(free).select("_row", "entity", "context", "t.*"), "private-terms")
-    told = settle(disclosing_terms(found, words, rows.select("_copy").distinct().count()), "private-disclosing")
-    hits = found.join(told, ["entity", "term"]).groupBy("_row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    hits = hits.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("_terms"))
-    out = rows.join(hits, "_row", "left")
-    own = F.transform(F.coalesce("_terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")), lambda t: F.struct(
+    rows = settle(rows.drop(*PATTERNS), "private-rows")
+    free = _free(F.col("_text"), F.col("_base"))
+    entity = lambda m: F.concat_ws(":", m["kind"], F.lower(m["value"]))
+    held = rows.withColumn("_entities", F.array_distinct(F.transform("_base", entity)))
+    told = settle(disclosing_terms(held, free), "private-disclosing")
+    hits = rows.select("_row", F.explode(_terms(free)).alias("term")).join(_sent(told), "term")
+    hits = hits.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_told"))
+    out = rows.join(hits, "_row", "left").withColumn("_seen", F.when(F.col("_told").isNotNull(), free))
+    out = out.withColumn("_words", F.regexp_extract_all("_seen", F.lit(_WORD), F.lit(0))).withColumn("_between", F.split("_seen", _WORD))
+    out = out.withColumn("_terms", _places(F.col("_told")))
+    own = F.transform(F.coalesce("_terms", F.array().cast(_PLACES)), lambda t: F.struct(
         t["start"].alias("start"), F.lit(KINDS.index("term")).alias("order"), t["end"].alias("end"),
         F.when(t["disclosure"] >= REMOVE, "removed").otherwise("term").alias("label"), F.lit("term").alias("kind")))
     base = F.transform("_base", lambda m: F.struct(m["start"].alias("start"), m["order"].alias("order"), m["end"].alias("end"),

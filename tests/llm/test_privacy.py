@@ -75,3 +75,19 @@ def test_copies_of_a_disclosing_text_add_nothing(spark):
     rows += [(5000 + i, f"delta {'one' if i % 2 else 'two'} write to Zorblax at zed@x.org") for i in range(2000)]  # 1,000 copies each
     got = find_private(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).where("doc_id >= 5000").collect()
     assert len(got) == 2000 and not any("Zorblax" in r.sanitised for r in got)
+
+
+def test_terms_are_found_in_whole_texts_and_without_their_entity(spark):
+    draw = random.Random(3)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    long = lambda: " ".join(draw.choices(words, k=60))
+    rows = [(i, f"{long()} number {i}") for i in range(3000)]
+    rows += [(5000 + i, f"Zorblax {long()} zed@x.org {long()} ZORBLAX") for i in range(4)]
+    rows += [(6000, f"{long()} Zorblax, alpha"), (6001, "zed y@x.org")]
+    got = {r.doc_id: r for r in find_private(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()}
+    for i in range(4):
+        text, end = rows[3000 + i][1], len(rows[3000 + i][1])
+        assert got[5000 + i].spans == f"term:0:7,email:{text.index('zed@')}:{text.index('zed@') + 9},term:{end - 7}:{end}"
+    at = rows[3004][1].index("Zorblax")
+    assert got[6000].spans == f"term:{at}:{at + 7}" and got[6000].sanitised.endswith("a , alpha")
+    assert got[6001].spans == "email:4:11" and all(got[i].spans == "" for i in range(3000))

@@ -3,13 +3,16 @@
 A text is the mean of the embeddings of its words' hashed character n-grams; a linear softmax on
 that mean gives the language. Both are learned together by stochastic gradient descent in numpy
 from a bounded sample of labelled rows (``PER_LANGUAGE``). A part of the sample that the descent
-does not see sets the temperature of the softmax and the score below which a text is rejected.
+does not see sets the temperature of the softmax and, by its rightly predicted rows, what is rejected: a
+text with a lower score than nearly all of these, or one of whose n-grams fewer are usual in the predicted language.
+The softmax only compares languages; the share of usual n-grams tells whether it is any of them.
 
 Rows of the sample are chosen by a hash of doc_id, as a share of each language that one narrow
 aggregation fixes. Their features, at most ``BUCKETS`` counts a row, go to the driver; the model
 (a table of ``BUCKETS`` by languages) is broadcast. Prediction moves no rows.
 
-Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected; rows
+Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected; one in none of
+the languages keeps the nearest one's name, has score 0 and is rejected; rows
 with a null language are predicted but not learned from; without labelled rows everything is ``und``;
 a null doc_id counts as the empty text; repeated rows are predicted alike; languages of equal score
 go by name; other columns are passed by.
@@ -36,8 +39,10 @@ BUCKETS = 1 << 15
 SIZES = (2, 3, 4)  # characters of an n-gram, word borders included
 WIDTH = 16
 EPOCHS, RATE = 4, 0.3
-#: Share of the calibration rows that may be rejected.
-REJECT = 0.001
+#: Share of the rightly predicted calibration rows below which the limits lie; few wrong labels do not move them.
+REJECT = 0.005
+#: An n-gram is usual in a language if this share of its rows hold it.
+USUAL = 0.01
 #: A text is never rejected above this score.
 MOST_REJECTED = 0.5
 REMEMBERED = 200_000  # words a task keeps
@@ -80,6 +85,8 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    usual: np.ndarray | None = None  # BUCKETS x labels: whether the language's rows hold it
+    least_usual: float = 0.0  # share of usual n-grams below which a text is in none of the languages, and its score 0
 
     def scores(self, sums: np.ndarray, count: float) -> np.ndarray:
         """Calibrated probabilities from summed n-gram weights."""
@@ -129,6 +136,11 @@ def train(rows: Sequence[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
     z = np.array([(rows[i][2] / rows[i][2].sum()) @ model.weights[rows[i][1]] + bias for i in held])
     truth = np.array([number[rows[i][0]] for i in held])
 
+    model.usual = np.zeros((BUCKETS, len(labels)), np.float32)
+    for i in fit:
+        model.usual[rows[i][1], number[rows[i][0]]] += 1
+    model.usual = model.usual > USUAL * np.bincount([number[rows[i][0]] for i in fit], minlength=len(labels))
+
     def right(temperature: float) -> np.ndarray:
         p = z / temperature
         p = np.exp(p - p.max(1, keepdims=True))
@@ -136,7 +148,12 @@ def train(rows: Sequence[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
 
     grid = np.geomspace(0.05, 20, 60)
     model.temperature = float(grid[np.argmin([-np.log(right(t) + 1e-12).mean() for t in grid])])
-    model.threshold = float(min(MOST_REJECTED, np.quantile(right(model.temperature), REJECT)))
+    hits = np.flatnonzero(z.argmax(1) == truth)
+    if len(hits):
+        model.threshold = float(min(MOST_REJECTED, np.quantile(right(model.temperature)[hits], REJECT)))
+        shares = [(rows[i][2] @ model.usual[rows[i][1], number[rows[i][0]]]) / rows[i][2].sum() for i in held[hits]]
+        low, middle = np.quantile(shares, (REJECT, 0.5))
+        model.least_usual = float(max(0.0, low - (middle - low)))  # as far again, for clean texts unlike those of the sample
     return model
 
 
@@ -170,7 +187,8 @@ class Predictor:
     """Predicts texts; remembers the summed weights of words."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.rows, self.sums = model, {}, np.zeros((0, len(model.labels) + 1))
+        self.model, self.rows, self.sums = model, {}, np.zeros((0, 2 * len(model.labels) + 1))
+        self.columns = np.concatenate([model.weights, model.usual], 1)
 
     def _learn(self, words: set[str]) -> None:
         """Sum the weights of the words not met before, all at once."""
@@ -181,7 +199,7 @@ class Predictor:
             new = list(words)
         if new:
             buckets, owner = grams(new)
-            made = [np.bincount(owner, column, len(new)) for column in self.model.weights[buckets].T]
+            made = [np.bincount(owner, column, len(new)) for column in self.columns[buckets].T]
             self.sums = np.concatenate([self.sums, np.stack([*made, np.bincount(owner, minlength=len(new))], 1)])
             self.rows.update(zip(new, range(len(self.rows), len(self.sums)), strict=True))
 
@@ -205,8 +223,11 @@ class Predictor:
             return UNKNOWN, 0.0
         rows = list(map(self.rows.__getitem__, words))
         total = np.fromiter(words.values(), np.float64, len(words)) @ self.sums[rows]
-        p = self.model.scores(total[:-1], total[-1])
+        n = len(self.model.labels)
+        p = self.model.scores(total[:n], total[-1])
         best = int(p.argmax())
+        if total[n + best] < self.model.least_usual * total[-1]:
+            return self.model.labels[best], 0.0
         return self.model.labels[best], float(p[best])
 
 

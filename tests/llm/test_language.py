@@ -1,5 +1,7 @@
 """Language model: held-out accuracy, calibration, defined cases."""
 
+import random
+import string
 import zlib
 
 from stagecheck.llm import language
@@ -58,3 +60,17 @@ def test_the_sample_is_bounded(spark):
     finally:
         language.train = original
     assert 40 < seen["n"] <= 400
+
+
+def test_foreign_and_random_texts_go_though_some_labels_are_wrong(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    wrong = "if(crc32(cast(doc_id AS string)) % 50 = 7, if(lang = 'en', 'de', 'en'), lang) AS lang"
+    model = language.learn_languages(docs.where(~language.held_out()).selectExpr("doc_id", "text", wrong))
+    draw = random.Random(2)
+    noise = [" ".join("".join(draw.choices(string.ascii_lowercase, k=draw.randint(3, 9))) for _ in range(80)) for _ in range(20)]
+    foreign = ["всем привет это текст на русском языке который никто не учил " * 5, "これは日本語の文章です。誰も学んでいません。" * 5,
+               "to jest tekst w języku polskim którego nikt się nie uczył przed chwilą " * 3]
+    odd = spark.createDataFrame(list(enumerate(noise + foreign)), "doc_id long, text string")
+    assert all(r.rejected for r in language.predict_languages(odd, model).collect())
+    clean = language.predict_languages(docs.where(language.held_out()), model).collect()
+    assert sum(r.rejected for r in clean if r.lang_pred != "und") <= 0.01 * len(clean)

@@ -84,3 +84,14 @@ def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the signed 64-bit ``values`` may be in the sieve."""
     at = values % SIEVE_BITS
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def free_names(names: Sequence[str], taken: Sequence[str]) -> list[str]:
+    """``names``, with underscores at the end of those that ``taken`` has already (whatever the case)."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stagecheck.llm import language, licenses, neardup, pieces, privacy, quality, repeats, sharding, tiling, urls
+from stagecheck.llm import language, licenses, neardup, pieces, privacy, quality, repeats, runs, sharding, tiling, urls, warc, whitening
 from stagecheck.llm.common import table
+from stagecheck.storage import scratch_path
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(runs.with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.*",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), archive)
+    return warc.read_archive(spark, archive).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 LLM_QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_repeats": op2_repeats,
@@ -76,6 +98,9 @@ LLM_QUERIES = {
     "op8_private_data": op8_private_data,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_warc": op13_warc,
 }
 
 _FITS = " UNION ALL ".join(
@@ -84,6 +109,15 @@ _FITS = " UNION ALL ".join(
     for host, path, verdict in URL_RULES)
 
 LLM_ORACLES: dict[str, str] = {
+    "op13_warc": f"""
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        led AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS leader FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= {warc.MIN_BYTES} AND page_id IS DISTINCT FROM leader THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= {warc.MIN_BYTES} AND page_id IS DISTINCT FROM leader THEN leader END AS refers_to
+        FROM led""",
     "op4_url_filter": f"""
         WITH parts AS (
             SELECT page_id,

@@ -1,0 +1,93 @@
+"""Whitening against numpy's own eigenvalues."""
+
+import math
+
+import numpy as np
+
+from stagecheck.llm import whitening
+from stagecheck.llm.registry import op12_whitening
+
+SF = "/root/testdata/sf0.01"
+
+
+def check_against_numpy(rows, vectors, components=16):
+    """``rows`` (id, component, n, deviation, whitened, explained, identity_error), ``vectors`` id to floats."""
+    x = {i: [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for i, v in vectors.items()}
+    fit = np.array(sorted({tuple(v) for v in x.values()}))
+    n, sums = len(fit), [int(s) for s in fit.sum(0)]
+    apart = fit - fit.mean(0)
+    values, directions = np.linalg.eigh(apart.T @ apart / n)
+    values, directions = values[::-1], directions[:, ::-1]
+    signs = {}
+    assert len(rows) == len(x) * components
+    for i, k, count, deviation, whitened, explained, error in rows:
+        assert count == n and deviation == sum((n * a - s) ** 2 for a, s in zip(x[i], sums))
+        want = (np.array(x[i]) - fit.mean(0)) @ directions[:, k - 1] / math.sqrt(values[k - 1])
+        sign = signs.setdefault(k, 1.0 if abs(want - whitened) < abs(want + whitened) else -1.0)
+        assert abs(sign * whitened - want) < 1e-6
+        assert abs(explained / (values[k - 1] / values.sum()) - 1) < 1e-9
+        assert 0 <= error < 1e-9
+
+
+def test_query(spark):
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
+    rows = op12_whitening(spark, SF)
+    assert rows.schema.simpleString() == (
+        "struct<vec_id:bigint,component:int,n:bigint,deviation:bigint,whitened:double,explained:double,identity_error:double>")
+    check_against_numpy([tuple(r) for r in rows.collect()], vectors)
+
+
+def test_factor_and_rotation():
+    rng = np.random.default_rng(2)
+    for rank, size in ((7, 7), (3, 9), (1, 5), (64, 64)):
+        half = rng.normal(size=(size, rank)) * np.logspace(0, -4, rank)
+        matrix = half @ half.T
+        factor, order = whitening.pivoted_cholesky(matrix)
+        assert factor.shape[1] == rank and np.allclose(factor @ factor.T, matrix[np.ix_(order, order)])
+        assert np.allclose(np.triu(factor, 1)[:rank], 0)
+        turned = whitening.one_sided_jacobi(factor)
+        products = turned.T @ turned
+        assert np.abs(products - np.diag(np.diag(products))).max() < 1e-13 * products.max()
+        values, vectors = whitening.principal(matrix, size)
+        assert np.allclose(values, np.linalg.eigvalsh(matrix)[::-1][:rank], rtol=1e-6)
+        assert np.allclose(matrix @ vectors, vectors * values) and np.allclose(vectors.T @ vectors, np.eye(rank))
+
+
+def test_defined_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rng = np.random.default_rng(4)
+    good = [(i, [float(c) for c in rng.normal(size=4)], "kept") for i in range(30)]
+    rows = [*good, (100, None, "a"), (101, [1.0, None, 2.0, 3.0], "b"), (102, [nan, 1.0, 1.0, 1.0], "c"),
+            (103, [1.0, inf, 1.0, 1.0], "d"), (104, [], "e"), (None, good[0][1], "copy")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, component string")
+    got = whitening.whiten(df, keep=["vec_id", "component"]).collect()
+    assert {r.vec_id for r in got} == {*range(30), None}
+    assert {r.component for r in got} == {"kept", "copy"}
+    assert [r.whitened for r in got if r.vec_id is None] == [r.whitened for r in got if r.vec_id == 0]
+    check_against_numpy([(r.vec_id, r.component_, *tuple(r)[3:]) for r in got if r.vec_id is not None], {i: v for i, v, _ in good}, 4)
+    assert whitening.whiten(df.where("vec_id >= 100")).count() == 0
+    assert whitening.whiten(df.where("false")).count() == 0
+    same = spark.createDataFrame([(i, [1.5, 2.5]) for i in range(9)], "vec_id long, embedding array<double>")
+    assert whitening.whiten(same).count() == 0
+
+
+def test_dimensions_and_large_values(spark):
+    rng = np.random.default_rng(8)
+    two = {i: rng.normal(size=2).tolist() for i in range(20)}
+    three = {i: rng.normal(size=3).tolist() for i in range(20, 50)}
+    df = spark.createDataFrame([*two.items(), *three.items()], "vec_id long, embedding array<double>")
+    got = whitening.whiten(df.selectExpr("vec_id", "CAST(embedding AS array<float>) AS embedding")).collect()
+    check_against_numpy([tuple(r) for r in got if r.vec_id < 20], two, 2)
+    check_against_numpy([tuple(r) for r in got if r.vec_id >= 20], three, 3)
+    far = spark.createDataFrame([(0, [1e30, 0.0]), (1, [-1e30, 1.0]), (2, [3e6, 5.0])], "vec_id long, embedding array<double>")
+    rows = whitening.whiten(far).collect()
+    assert {r.vec_id for r in rows} == {0, 1, 2} and all(r.deviation is None for r in rows if r.vec_id < 2)
+
+
+def test_centring_holds_up_under_a_large_offset():
+    centre = whitening.Centre(3, np.array([10**12]), np.array([1]))
+    x = np.array([[10**12], [10**12 + 1], [10**12]])
+    assert centre.deviations(x) == [1, 4, 1]
+    assert np.allclose(centre.centred(x)[:, 0], [-1 / 3, 2 / 3, -1 / 3], rtol=1e-15)
+    assert whitening.Centre(10**9, np.array([0]), np.array([0])).deviations(np.array([[10]])) == [None]
+    assert whitening.Centre(10**9, np.array([0]), np.array([1])).deviations(np.array([[3]])) == [(3 * 10**9 - 1) ** 2]

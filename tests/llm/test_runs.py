@@ -70,7 +70,7 @@ def test_extensions():
 def test_long_periodic_text():
     rng = random.Random(3)
     base = [rng.randrange(4000) for _ in range(30_000)]
-    words = [base[i if i < 2000 else 2000 + (i - 2000) % 7001] for i in range(30_000)]
+    words = [base[i if i < 2000 else 2000 + (i - 2000) % 7000] for i in range(30_000)]
     assert as_rows(runs.runs_of_texts(np.array(words), np.array([30_000]))[0]) == [(2000, 30_000, 7000)]
     assert as_rows(runs.runs_of([1] * 5000)) == [(0, 5000, 1)]
 

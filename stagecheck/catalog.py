@@ -11,7 +11,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stagecheck import names
+from stagecheck import names, snapshots
 from stagecheck.functions import money, text, times
 from stagecheck.functions.hashing import row_hash, trimmed_decimal
 from stagecheck.operators import audit, cleaning, ledger, mapping, matching, numbering, reports, tracker
@@ -586,7 +586,7 @@ def reload_file(spark, folder):
     rows.write.partitionBy(names.PRE_ORIGIN_FILE).parquet(path)
     again = rows.filter(F.col(names.PRE_ORIGIN_FILE) == "ORDERS~1996.1.csv").withColumn("o_orderstatus", F.lit("R"))
     table_sinks.reload_file(again, path, names.PRE_ORIGIN_FILE)
-    return spark.read.parquet(path)
+    return snapshots.read(spark, path)
 
 
 @query(f"""SELECT o_orderkey, o_orderstatus, {_YEAR_FILE} AS pre_origin_file FROM orders
@@ -598,7 +598,7 @@ def reload_nothing(spark, folder):
     rows.write.partitionBy(names.PRE_ORIGIN_FILE).parquet(path)
     table_sinks.reload_file(rows.filter("false"), path, names.PRE_ORIGIN_FILE, ["ORDERS~1996.1.csv"])
     table_sinks.delete_file(spark, path, "ORDERS~1997.1.csv")
-    return spark.read.parquet(path)
+    return snapshots.read(spark, path)
 
 
 @query(f"""SELECT o_orderkey, o_orderstatus, {_YEAR_FILE} AS pre_origin_file FROM orders

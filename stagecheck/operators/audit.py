@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -60,6 +61,31 @@ def fk_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFra
     return child.filter(F.col(fk).isNotNull()).join(parents, child[fk] == parents["_parent"], "left_anti")
 
 
+def reference_orphans(child: DataFrame, references: Sequence[tuple[str, str, DataFrame | None, str]]) -> DataFrame:
+    """Values of all references that have no parent: (column, parent, value as text), each once.
+
+    ``references`` are (child column, parent's name, parent or None if there is none, parent's key). The
+    child is read once, whatever their number: its distinct values, which combine before the shuffle,
+    meet the keys of all parents in one anti join. NULL refers to nothing and passes.
+    """
+    parents = {name: (rows, key) for _, name, rows, key in references}
+    if any((name, key) not in {(n, k) for n, (_, k) in parents.items()} for _, name, _, key in references):
+        raise ValueError("one parent is referred to by different keys")
+
+    def as_key(column: str, name: str) -> F.Column:
+        rows, key = parents[name]
+        value = F.col(f"`{column}`")
+        return (value if rows is None else value.cast(rows.schema[key].dataType)).cast("string")
+
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(n).alias("parent"), as_key(c, n).alias("value")) for c, n, _, _ in references])
+    wanted = child.select(F.inline(values)).filter(F.col("value").isNotNull()).distinct()
+    stored = [rows.select(F.lit(name).alias("parent"), F.col(f"`{key}`").cast("string").alias("value"))
+              for name, (rows, key) in parents.items() if rows is not None]
+    if not stored:
+        return wanted
+    return wanted.join(reduce(DataFrame.unionAll, stored), ["parent", "value"], "left_anti").select("column", "parent", "value")
+
+
 def fk_repair(child: DataFrame, parent: DataFrame, fk: str, pk: str, default: int | str = 0) -> DataFrame:
     """Point orphans to a default key. Parents are distinct, so child rows never multiply."""
     parents = parent.select(F.col(pk).alias("_parent")).distinct()

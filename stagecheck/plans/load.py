@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stagecheck import names
 from stagecheck.operators.mapping import apply_mapping, cast_voids, with_origin_file
 from stagecheck.sinks.tables import write_final, write_staged
+from stagecheck.snapshots import reserve_numbers
 from stagecheck.sources.files import read_flat_file
-from stagecheck.sources.tables import read_staged
+from stagecheck.sources.tables import read_staged, table_path
 from stagecheck.spec import ColumnMapping, TableSpec, apply_steps
+from stagecheck.storage import pin_scope
 
 _HASH_MAPPING = ColumnMapping(names.FILE_HASH, "string", names.PRE_FILE_HASH, "string")
 
@@ -32,7 +34,21 @@ def load_stage1(
 ) -> None:
     """Load one file into staging. ``mode="overwrite"`` replaces what was staged of this file only."""
     rows = read_flat_file(spark, path, multi_line=multi_line)
-    write_staged(run_staging(rows, spec, file_name), staging_root, spec, mode, on_bad, check_keys, file_name)
+    with pin_scope(spark):
+        staged = run_staging(rows, spec, file_name)
+        if spec.own_numbers:
+            staged = _numbered_over_files(staged, spec, staging_root, file_name)
+        write_staged(staged, staging_root, spec, mode, on_bad, check_keys, file_name)
+
+
+def _numbered_over_files(staged: DataFrame, spec: TableSpec, staging_root: str, file_name: str) -> DataFrame:
+    """Move the numbers a file's rows got by themselves behind those of the files before.
+
+    The table keeps which numbers a file has, so a file that is loaded again gets them again.
+    """
+    path = table_path(staging_root, spec.staged_name)
+    first = reserve_numbers(staged.sparkSession, path, file_name, staged.count())
+    return staged.withColumn(spec.own_numbers, F.col(spec.own_numbers) + F.lit(first))
 
 
 def load_stage2(

@@ -98,6 +98,7 @@ _ALL = (
         "PRODUCT_SECONDARY_CATEGORY", (_int("id"), _int("id_prod"), _int("id_cat")),
         foreign_keys=(ForeignKey("id_prod", "PRODUCT_DETAILS"),), steps=(fan_out_categories,),
         file_columns=("id", "id_category_secondary"), carries_file_hash=False, excluded=True,
+        own_numbers="pre_id",
     ),
     _spec("CUSTOMER_PURCHASE_INSTANCE_ITEMS", [
         _int("id"), _int("id_inst"), _int("id_prod"), _int("quantity"), _money("price"),

@@ -1,26 +1,30 @@
-"""Writes of staging and final tables, reloads by file, and hash archives."""
+"""Writes of staging and final tables, reloads by file, and hash archives.
+
+Every write takes effect at once, by publishing a snapshot, or not at all; see ``snapshots``.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import replace
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from stagecheck import names
-from stagecheck.operators.audit import fk_orphans, pk_duplicates
+from stagecheck import names, snapshots
+from stagecheck.operators.audit import pk_duplicates, reference_orphans
 from stagecheck.operators.mapping import coerce_declared
-from stagecheck.sources.tables import partition_path, read_final, read_staged, table_path
-from stagecheck.spec import ForeignKey, TableSpec
-from stagecheck.storage import delete_path, path_exists, pin, pin_scope
-
+from stagecheck.snapshots import Aside, Folder, Snapshot
+from stagecheck.sources.tables import table_path
+from stagecheck.spec import Column, TableSpec
+from stagecheck.storage import path_exists
 
-def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
-    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
-
-def delete_file(spark: SparkSession, path: str, origin_file: str, partition: str = names.PRE_ORIGIN_FILE) -> bool:
-    """Drop the rows of one file from a stored table: its partition is deleted, no other is touched."""
-    return delete_path(spark, partition_path(spark, path, partition, origin_file))
+def delete_file(spark: SparkSession, path: str, origin_file: str) -> bool:
+    """Drop the rows of one file from a stored table; True if it had any."""
+    had = any(f.file == origin_file for f in snapshots.latest(spark, path).folders)
+    snapshots.commit(spark, path, lambda base: base.without_files([origin_file]))
+    return had
 
 
 def _refuse_repeats(new: DataFrame, keys: Sequence[str], table: str) -> None:
@@ -29,22 +33,78 @@ def _refuse_repeats(new: DataFrame, keys: Sequence[str], table: str) -> None:
         raise ValueError(f"{table}: key {example.asDict()} is not unique")
 
 
-def stored_collisions(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+def stored_collisions(
+    new: DataFrame, stored: DataFrame, keys: Sequence[str], ends: tuple[Any, Any] | None = None,
+) -> DataFrame:
     """Keys of ``new`` that are stored already.
 
-    The stored side is only narrowed, by the range of the new keys at its scan and then by the
-    keys themselves, which are sent to it while they are small; its own rows need not move.
+    The stored side is only narrowed, by the range of the new keys at its scan (``ends``, of the first
+    key, where they are known) and then by the keys themselves, which are sent to it while they are
+    small; its own rows need not move.
     """
     wanted = new.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    ends = wanted.agg(F.min(f"_{keys[0]}"), F.max(f"_{keys[0]}")).first()
-    near = stored.select(*keys).filter(F.col(keys[0]).between(F.lit(ends[0]), F.lit(ends[1])))
+    low, high = ends or wanted.agg(F.min(f"_{keys[0]}"), F.max(f"_{keys[0]}")).first()
+    near = stored.select(*keys).filter(F.col(keys[0]).between(F.lit(low), F.lit(high)))
     return near.join(wanted, [near[k] == wanted[f"_{k}"] for k in keys], "left_semi")
 
 
-def _refuse_collisions(new: DataFrame, stored: DataFrame, keys: Sequence[str], table: str) -> None:
-    example = stored_collisions(new, stored, keys).first()
-    if example is not None:
-        raise ValueError(f"{table}: key {example.asDict()} is not unique")
+class _Load:
+    """One load: its rows are written aside once, and counted, bounded and searched for gaps in that pass."""
+
+    def __init__(self, df: DataFrame, path: str, table: str, partition: str, keys: Sequence[str], required: Iterable[Column] = ()):
+        self.path, self.table, self.partition, self.keys = path, table, partition, list(keys)
+        self.schema = df.schema
+        self.required = [c.name for c in required]
+        self.seen = Observation()
+        gaps = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"gap_{c}") for c in self.required]
+        self.df = df.observe(
+            self.seen, F.count(F.lit(1)).alias("rows"), F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high"), *gaps)
+
+    def described(self, new: Aside) -> None:
+        """Keep what the write has seen with the folders: their rows, if it made one, and the ends of the first key."""
+        seen = self.seen.get
+        zoned = isinstance(self.schema[self.keys[0]].dataType, (T.IntegralType, T.StringType))
+        new.describe([
+            replace(f, rows=seen["rows"] if len(new.folders) == 1 else None, low=seen["low"] if zoned else None,
+                    high=seen["high"] if zoned else None) for f in new.folders])
+
+    def refuse_gaps(self) -> None:
+        broken = {c: self.seen.get[f"gap_{c}"] for c in self.required if self.seen.get[f"gap_{c}"]}
+        if broken:
+            raise ValueError(f"{self.table}: required values are missing: {broken}")
+
+    def adding(self, new: Aside, replaced: Iterable[str | None], check_keys: bool, own_files: bool) -> Callable[[Snapshot], Snapshot]:
+        """The change that publishes ``new`` in place of the files ``replaced``.
+
+        With ``check_keys`` it refuses keys that are stored already, in the files of ``new`` only if
+        ``own_files``. Asked again after another load was first, it looks at what that one added.
+        """
+        seen: set[str] = set()
+
+        def change(base: Snapshot) -> Snapshot:
+            kept = base.without_files(replaced)
+            if check_keys:
+                files = {f.file for f in new.folders}
+                near = [f for f in kept.folders
+                        if f.path not in seen and (f.file in files or not own_files) and any(_may_meet(f, n) for n in new.folders)]
+                if near:
+                    stored = snapshots.read_folders(new.spark, self.path, near, self.schema)
+                    keys = [*self.keys, self.partition] if own_files else self.keys
+                    ends = self.seen.get["low"], self.seen.get["high"]
+                    example = stored_collisions(new.rows(self.schema), stored, keys, ends).first()
+                    if example is not None:
+                        raise ValueError(f"{self.table}: key {example.asDict()} is not unique")
+                seen.update(f.path for f in kept.folders)
+            return kept.with_folders(new.folders)
+
+        return change
+
+
+def _may_meet(one: Folder, two: Folder) -> bool:
+    """Whether two folders can hold one key, by the ends of their first keys; folders of unknown ends can."""
+    if any(end is None for end in (one.low, one.high, two.low, two.high)):
+        return one.rows != 0 and two.rows != 0
+    return one.low <= two.high and two.low <= one.high
 
 
 def write_staged(
@@ -56,22 +116,16 @@ def write_staged(
     The key of a staging table is the source key and the origin file. As a database would, a
     load that breaks it is refused, unless ``check_keys`` is off. ``origin_file`` names the file that
     an overwrite replaces, so that its old rows go even if it has no rows now. The rows are
-    computed once: checks and table read what was written first.
+    computed and written once; checks read what was written, and only then it is published.
     """
-    spark, path = df.sparkSession, table_path(root, spec.staged_name)
-    with pin_scope(spark):
-        typed = pin(coerce_declared(df, spec.staged_columns, on_bad).select(*spec.staged_schema.names), "load")
+    path, partition = table_path(root, spec.staged_name), names.PRE_ORIGIN_FILE
+    typed = coerce_declared(df, spec.staged_columns, on_bad).select(*spec.staged_schema.names)
+    load = _Load(typed, path, spec.staged_name, partition, spec.staged_keys)
+    with snapshots.aside(load.df, path, partition) as new:
+        load.described(new)
         if check_keys:
-            keys = [*spec.staged_keys, names.PRE_ORIGIN_FILE]
-            _refuse_repeats(typed, keys, spec.staged_name)
-            if mode == "append" and path_exists(spark, path):
-                stored = read_staged(spark, root, spec, origin_file)
-                if origin_file is None:
-                    stored = stored.join(typed.select(names.PRE_ORIGIN_FILE).distinct(), names.PRE_ORIGIN_FILE, "left_semi")
-                _refuse_collisions(typed, stored, keys, spec.staged_name)
-        if mode == "overwrite" and origin_file is not None:
-            delete_file(spark, path, origin_file)
-        _write(typed, path, names.PRE_ORIGIN_FILE, mode)
+            _refuse_repeats(new.rows(typed.schema), [*spec.staged_keys, partition], spec.staged_name)
+        new.commit(load.adding(new, _replaced(new, mode, origin_file), check_keys, own_files=True))
 
 
 def write_final(
@@ -82,50 +136,39 @@ def write_final(
 
     The key of a final table is the source key alone, over all files. As a database would, a
     load is refused that breaks it, lacks a required value (``check_rows``), or refers to a parent
-    that is not stored below ``root`` (``check_references``).
+    that is not stored below ``root`` (``check_references``). Of two loads of one key at the same time
+    one is refused.
     """
-    spark, path = df.sparkSession, table_path(root, spec.final_name)
-    with pin_scope(spark):
-        typed = pin(coerce_declared(df, spec.columns, on_bad).select(*spec.final_schema.names), "load")
+    path, partition = table_path(root, spec.final_name), names.ORIGIN_FILE
+    typed = coerce_declared(df, spec.columns, on_bad).select(*spec.final_schema.names)
+    load = _Load(typed, path, spec.final_name, partition, spec.keys, [c for c in spec.columns if c.required and check_rows])
+    with snapshots.aside(load.df, path, partition) as new:
+        load.described(new)
+        load.refuse_gaps()
+        rows = new.rows(typed.schema)
         if check_keys:
-            _refuse_repeats(typed, spec.keys, spec.final_name)
-            if path_exists(spark, path):
-                stored = read_final(spark, root, spec)
-                if mode == "overwrite":
-                    files = typed.select(names.ORIGIN_FILE).distinct()
-                    stored = stored.join(files, names.ORIGIN_FILE, "left_anti")
-                    if origin_file is not None:
-                        stored = stored.filter(F.col(names.ORIGIN_FILE) != F.lit(origin_file))
-                _refuse_collisions(typed, stored, spec.keys, spec.final_name)
-        if check_rows:
-            _refuse_missing(typed, spec)
-        if check_references:
-            for reference in spec.foreign_keys:
-                _refuse_orphans(typed, root, spec, reference)
-        if mode == "overwrite" and origin_file is not None:
-            delete_file(spark, path, origin_file, names.ORIGIN_FILE)
-        _write(typed, path, names.ORIGIN_FILE, mode)
-
-
-def _refuse_missing(typed: DataFrame, spec: TableSpec) -> None:
-    required = [c.name for c in spec.columns if c.required]
-    if not required:
-        return
-    missing = typed.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in required]).first().asDict()
-    broken = {c: n for c, n in missing.items() if n}
-    if broken:
-        raise ValueError(f"{spec.final_name}: required values are missing: {broken}")
-
-
-def _refuse_orphans(typed: DataFrame, root: str, spec: TableSpec, reference: ForeignKey) -> None:
-    parents = table_path(root, reference.parent)
-    if path_exists(typed.sparkSession, parents):
-        stored = typed.sparkSession.read.parquet(parents).select(reference.parent_column)
-        example = fk_orphans(typed, stored, reference.column, reference.parent_column).first()
-    else:
-        example = typed.filter(F.col(reference.column).isNotNull()).first()
+            _refuse_repeats(rows, spec.keys, spec.final_name)
+        if check_references and spec.foreign_keys:
+            _refuse_orphans(rows, root, spec)
+        new.commit(load.adding(new, _replaced(new, mode, origin_file), check_keys, own_files=False))
+
+
+def _replaced(new: Aside, mode: str, origin_file: str | None) -> set[str | None]:
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
+    if mode == "append":
+        return set()
+    return {f.file for f in new.folders} | (set() if origin_file is None else {origin_file})
+
+
+def _refuse_orphans(rows: DataFrame, root: str, spec: TableSpec) -> None:
+    spark, parents = rows.sparkSession, {}
+    for reference in spec.foreign_keys:
+        path = table_path(root, reference.parent)
+        parents[reference.parent] = snapshots.read(spark, path) if path_exists(spark, path) else None
+    example = reference_orphans(rows, [(r.column, r.parent, parents[r.parent], r.parent_column) for r in spec.foreign_keys]).first()
     if example is not None:
-        raise ValueError(f"{spec.final_name}: {reference.column} {example[reference.column]} has no row in {reference.parent}")
+        raise ValueError(f"{spec.final_name}: {example.column} {example.value} has no row in {example.parent}")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_size: int = 10_000) -> None:
@@ -134,12 +177,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
 
 
 def reload_file(df: DataFrame, path: str, partition: str, files: Sequence[str] = ()) -> None:
-    """Replace the rows of the files in ``df`` and of those named in ``files``, which may have none left."""
-    with pin_scope(df.sparkSession):
-        rows = pin(df, "reload")  # may itself read what is deleted next
-        for file in files:
-            delete_file(df.sparkSession, path, file, partition)
-        _write(rows, path, partition, "overwrite")
+    """Replace the rows of the files in ``df`` and of those named in ``files``, which may have none left.
+
+    ``df`` may read the table itself. Until the new rows are published the old ones stay.
+    """
+    with snapshots.aside(df, path, partition) as new:
+        gone = {f.file for f in new.folders}.union(files)
+        new.commit(lambda base: base.without_files(gone).with_folders(new.folders))
 
 
 def delete_by_file(df: DataFrame, origin_file: str, column: str = names.PRE_ORIGIN_FILE) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Staging and final tables, partitioned by origin file, and JDBC queries."""
+"""Staging and final tables, held by origin file, and JDBC queries."""
 
 from __future__ import annotations
 
@@ -6,40 +6,23 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from urllib.parse import urlencode
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
-from stagecheck import names
+from stagecheck import snapshots
 from stagecheck.spec import TableSpec
-from stagecheck.storage import path_exists
 
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def partition_path(spark: SparkSession, path: str, partition: str, value: str) -> str:
-    """Folder that holds the rows of one partition value."""
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return f"{path}/{utils.getPartitionPathString(partition, value)}"
-
-
-def _read(spark: SparkSession, path: str, schema: T.StructType, partition: str, value: str | None) -> DataFrame:
-    """A partitioned table, or one of its partitions without listing the others."""
-    if value is None:
-        return spark.read.schema(schema).parquet(path)
-    folder = partition_path(spark, path, partition, value)
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(folder)
-
-
 def read_staged(spark: SparkSession, root: str, spec: TableSpec, origin_file: str | None = None) -> DataFrame:
-    """Staged rows, of one file if named: the file is a partition, so no other is listed or opened."""
-    return _read(spark, table_path(root, spec.staged_name), spec.staged_schema, names.PRE_ORIGIN_FILE, origin_file)
+    """Staged rows, of one file if named: its folders are read by path, so no other is listed or opened."""
+    return snapshots.read(spark, table_path(root, spec.staged_name), spec.staged_schema, origin_file)
 
 
 def read_final(spark: SparkSession, root: str, spec: TableSpec, origin_file: str | None = None) -> DataFrame:
-    return _read(spark, table_path(root, spec.final_name), spec.final_schema, names.ORIGIN_FILE, origin_file)
+    return snapshots.read(spark, table_path(root, spec.final_name), spec.final_schema, origin_file)
 
 
 def query_frames(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:

@@ -81,6 +81,7 @@ class TableSpec:
     file_columns: tuple[str, ...] | None = None
     carries_file_hash: bool = True
     excluded: bool = False
+    own_numbers: str | None = None  # staging column that a step numbers from 0 in every file
     prefix: str = names.STAGED_PREFIX
     staged_table: str | None = None
     final_table: str | None = None

@@ -57,24 +57,38 @@ def pin_scope(spark: SparkSession) -> Iterator[None]:
 def input_slots(df: DataFrame, slot_bytes: int = 128 << 20) -> int:
     """Partitions for ``df`` by the size of the files it reads, three times what they take on disk; at least the session's."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [float(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    known = [s for s in sizes if s < 1 << 60]  # frames made in memory have no size
+    known = [s for s in input_sizes(df) if s is not None]
     return max(least, math.ceil(3 * sum(known) / slot_bytes))
 
 
-def _file_system(spark: SparkSession, path: str):
+def input_sizes(df: DataFrame) -> list[float | None]:
+    """Bytes of every input of ``df``, each once however often the plan reads it; None where the size is not known."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes: dict[str, float | None] = {}
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        size = float(str(leaf.stats().sizeInBytes()))
+        relation = leaf.relation() if leaf.nodeName() == "LogicalRelation" else None
+        of_files = relation is not None and relation.getClass().getSimpleName() == "HadoopFsRelation"
+        # A scan of the same files with other columns is the same input.
+        files = relation.location().rootPaths().mkString(",") if of_files else ""
+        sizes[files or f"{i}"] = size if size < 1 << 60 else None  # frames made in memory have no size
+    return list(sizes.values())
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it wants it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.delete(hadoop_path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 

@@ -1,0 +1,216 @@
+"""Loads that are killed between any two steps, loads at the same time, and what versions keep."""
+
+import pathlib
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from stagecheck import names, snapshots
+from stagecheck.operators.audit import reference_orphans
+from stagecheck.sinks import tables
+from stagecheck.sources.tables import read_final, read_staged, table_path
+from stagecheck.spec import Column, ForeignKey, TableSpec
+
+SPEC = TableSpec("T", (Column("id", "int"), Column("name", "string")), hash_columns=("id", "name"), carries_file_hash=False)
+
+
+class Killed(BaseException):
+    """Stands for the end of the process: nothing of ours may catch it."""
+
+
+def rows(spark, ids, name="a", file="F1", column=names.ORIGIN_FILE):
+    prefix = names.STAGED_PREFIX if column == names.PRE_ORIGIN_FILE else ""
+    return spark.createDataFrame([(i, f"{name}{i}", file) for i in ids], f"{prefix}id int, {prefix}name string, {column} string")
+
+
+def content(spark, root, file=None):
+    return sorted((r.id, r.name, r.origin_file) for r in read_final(spark, root, SPEC, file).collect())
+
+
+#: (object, attribute, whether the step itself still happens) of every step of a load.
+STEPS = [
+    (snapshots.Aside, "write", False), (snapshots.Aside, "write", True), (tables._Load, "described", False),
+    (tables, "_refuse_repeats", True), (tables, "stored_collisions", True), (snapshots.Aside, "commit", False),
+    (snapshots, "publish", False), (snapshots, "_link", False), (snapshots, "_link", True), (snapshots, "publish", True),
+]
+
+
+@pytest.mark.parametrize("step", range(len(STEPS)))
+@pytest.mark.parametrize("job", ["write_final", "write_staged", "reload_file"])
+def test_a_killed_load_leaves_the_old_or_the_new_rows(spark, tmp_path, monkeypatch, job, step):
+    root = str(tmp_path)
+    column = names.PRE_ORIGIN_FILE if job == "write_staged" else names.ORIGIN_FILE
+    read = read_staged if job == "write_staged" else read_final
+    content = lambda: sorted(tuple(r) for r in read(spark, root, SPEC).collect())
+    write = {
+        "write_final": lambda df: tables.write_final(df, root, SPEC, "overwrite", origin_file="F1"),
+        "write_staged": lambda df: tables.write_staged(df, root, SPEC, "overwrite", origin_file="F1"),
+        "reload_file": lambda df: tables.reload_file(df, f"{root}/T", column),
+    }[job]
+    write(rows(spark, [1, 2], "old", "F1", column))
+    write(rows(spark, [7], "other", "F2", column))
+    old = content()
+    where, name, after = STEPS[step]
+    real, hits = getattr(where, name), []
+
+    def killed(*args, **kwargs):
+        hits.append(1)
+        if after:
+            real(*args, **kwargs)
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(where, name, killed)
+        again = rows(spark, [1, 3], "new", "F1", column)
+        if job == "reload_file":  # reads what it replaces
+            again = read_final(spark, root, SPEC, "F1").withColumn("name", F.lit("new")).select("id", "name", "origin_file")
+        try:
+            write(again)
+        except Killed:
+            pass
+    now = content()
+    assert hits or now != old
+    published = (name in ("_link", "publish") and after) or not hits
+    assert (now == old) is not published
+    assert now == old or {r[1][:3] for r in now if r[2] == "F1"} == {"new"}
+    assert [r for r in now if r[2] == "F2"] == [(7, "other7", "F2")]
+    write(rows(spark, [1, 3], "last", "F1", column))
+    assert content() == sorted([(1, "last1", "F1"), (3, "last3", "F1"), (7, "other7", "F2")])
+
+
+def test_of_two_loads_of_one_key_one_is_refused(spark, tmp_path, monkeypatch):
+    root, real, first = str(tmp_path), snapshots.publish, []
+    tables.write_final(rows(spark, [1], file="F0"), root, SPEC)
+
+    def overtaken(*args):
+        if not first:
+            first.append(1)
+            tables.write_final(rows(spark, [5, 6], "other", "F2"), root, SPEC)
+        return real(*args)
+
+    monkeypatch.setattr(snapshots, "publish", overtaken)
+    with pytest.raises(ValueError, match="not unique"):
+        tables.write_final(rows(spark, [4, 5], "mine", "F1"), root, SPEC)
+    assert [r[0] for r in content(spark, root)] == [1, 5, 6]
+    first.clear()
+    monkeypatch.setattr(snapshots, "publish", lambda *args: first.append(1) or real(*args))
+    tables.write_final(rows(spark, [8], "mine", "F3"), root, SPEC)
+    assert [r[0] for r in content(spark, root)] == [1, 5, 6, 8]
+
+
+def test_loads_at_the_same_time_lose_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    load = lambda k: tables.write_final(rows(spark, [k], "x", f"F{k}"), root, SPEC)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(load, range(6)))
+    assert content(spark, root) == [(k, f"x{k}", f"F{k}") for k in range(6)]
+    assert snapshots.versions(spark, f"{root}/T") == list(range(1, 7))
+
+
+def test_a_number_is_taken_once(spark, tmp_path):
+    path, new = str(tmp_path / "t"), snapshots.Snapshot(1, (snapshots.Folder("F", "a"),))
+    assert snapshots.publish(spark, path, new)
+    assert not snapshots.publish(spark, path, snapshots.Snapshot(1, ()))
+    assert snapshots.latest(spark, path) == new
+    fs, draft = snapshots.file_system(spark, f"{path}/draft")
+    fs.create(draft, True).close()
+
+    class Remote:  # a file system without links takes the other way
+        getScheme = staticmethod(lambda: "other")
+        getUri = fs.getUri
+
+    assert snapshots._link(spark, Remote, draft, snapshots.file_system(spark, f"{path}/named")[1])
+    fs.create(draft, True).close()
+    assert not snapshots._link(spark, Remote, draft, snapshots.file_system(spark, f"{path}/named")[1])
+
+
+def test_plain_tables_are_taken_over(spark, tmp_path):
+    root = str(tmp_path)
+    rows(spark, [1], file="F 1%").unionAll(rows(spark, [2], file=None)).write.partitionBy("origin_file").parquet(f"{root}/T")
+    assert [r[:2] for r in content(spark, root, "F 1%")] == [(1, "a1")]
+    tables.write_final(rows(spark, [3], file="F3"), root, SPEC)
+    with pytest.raises(ValueError, match="not unique"):
+        tables.write_final(rows(spark, [2], file="F4"), root, SPEC)
+    tables.write_final(rows(spark, [9], file="F 1%"), root, SPEC, "overwrite")
+    got = sorted(((r.id, r.origin_file) for r in read_final(spark, root, SPEC).collect()))
+    assert got == [(2, None), (3, "F3"), (9, "F 1%")]
+    spark.range(3).write.parquet(f"{root}/plain")
+    assert snapshots.read(spark, f"{root}/plain").count() == 3
+    with pytest.raises(ValueError, match="outside of any partition"):
+        tables.reload_file(rows(spark, [1]), f"{root}/plain", "origin_file")
+    assert snapshots.read(spark, f"{root}/plain").count() == 3
+
+
+def test_an_open_reader_keeps_its_version(spark, tmp_path):
+    root, path = str(tmp_path), str(tmp_path / "T")
+    tables.write_final(rows(spark, [1, 2]), root, SPEC)
+    before, number = read_final(spark, root, SPEC), snapshots.latest(spark, path).version
+    tables.write_final(rows(spark, [3]), root, SPEC, "overwrite")
+    assert before.count() == 2 and read_final(spark, root, SPEC).count() == 1
+    assert snapshots.read(spark, path, SPEC.final_schema, snapshot=snapshots.version(spark, path, number)).count() == 2
+    assert snapshots.prune(spark, path, keep=1) == 0, "young folders may belong to a load that is at work"
+    assert snapshots.prune(spark, path, keep=1, idle_hours=0) == 1
+    assert read_final(spark, root, SPEC).count() == 1 and snapshots.versions(spark, path) == [number + 1]
+
+
+def test_loads_open_only_folders_that_may_collide(spark, tmp_path, monkeypatch):
+    root, opened = str(tmp_path), []
+    for k in range(4):
+        tables.write_final(rows(spark, range(10 * k, 10 * k + 10), file=f"F{k}"), root, SPEC)
+    real = snapshots.read_folders
+    monkeypatch.setattr(snapshots, "read_folders", lambda s, p, folders, schema=None: opened.append(
+        sorted(f.file for f in folders)) or real(s, p, folders, schema))
+    tables.write_final(rows(spark, range(100, 105), file="F9"), root, SPEC)
+    assert opened == [["F9"]]  # the search for repeats in the new rows
+    opened.clear()
+    with pytest.raises(ValueError, match="{'id': 25} is not unique"):
+        tables.write_final(rows(spark, [25], file="F8"), root, SPEC)
+    assert [o for o in opened if o != ["F8"]] == [["F2"]]
+
+
+def test_checks_cost_no_pass_of_their_own(spark, tmp_path):
+    """Required values and ends of keys come from the write; a load without keys and references is one job."""
+    df = rows(spark, [1, 2]).withColumn("name", F.when(F.col("id") == 1, F.col("name")))
+    with pytest.raises(ValueError, match="required values are missing: {'name': 1}"):
+        tables.write_final(df, str(tmp_path), SPEC)
+    assert not pathlib.Path(table_path(str(tmp_path), "T"), snapshots.VERSIONS).exists()
+    spark.sparkContext.setJobGroup("load", "")
+    tables.write_final(rows(spark, [1, 2]), str(tmp_path), SPEC, check_keys=False)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("load")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) == 1
+    (folder,) = snapshots.latest(spark, f"{tmp_path}/T").folders
+    assert (folder.file, folder.rows, folder.low, folder.high) == ("F1", 2, 1, 2)
+
+
+def test_numbers_over_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    take = lambda file, count: snapshots.reserve_numbers(spark, path, file, count)
+    assert [take("A", 4), take("B", 3), take("A", 4), take("C", 0), take("D", 2)] == [0, 4, 0, 7, 7]
+    assert take("B", 5) == 9 and take("B", 5) == 9  # grown: moved behind the others
+
+
+def test_all_references_in_one_scan(spark, tmp_path):
+    child = spark.createDataFrame([(1, "7", 1), (2, None, 3), (2, "8", None), (9, "7", 3)], "a int, b string, c long")
+    child.write.parquet(str(tmp_path / "child"))
+    child = spark.read.parquet(str(tmp_path / "child"))
+    p, q = spark.createDataFrame([(1,), (2,)], "id long"), spark.createDataFrame([(7,)], "key int")
+    found = reference_orphans(child, [("a", "P", p, "id"), ("b", "Q", q, "key"), ("c", "P", p, "id")])
+    assert sorted(map(tuple, found.collect())) == [("a", "P", "9"), ("b", "Q", "8"), ("c", "P", "3")]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan parquet") == 1
+    assert sorted(map(tuple, reference_orphans(child, [("a", "P", None, "id")]).collect())) == [
+        ("a", "P", "1"), ("a", "P", "2"), ("a", "P", "9")]
+
+
+def test_a_load_with_several_references(spark, tmp_path):
+    root = str(tmp_path)
+    spec = TableSpec("C", (Column("id", "int"), Column("p", "int"), Column("q", "int", False)),
+                     foreign_keys=(ForeignKey("p", "T"), ForeignKey("q", "T")), hash_columns=("id",))
+    tables.write_final(rows(spark, [1, 2]), root, SPEC)
+    made = lambda *values: spark.createDataFrame([values], "id int, p int, q int").withColumn("origin_file", F.lit("C1"))
+    with pytest.raises(ValueError, match="q 5 has no row in T"):
+        tables.write_final(made(1, 2, 5), root, spec)
+    tables.write_final(made(1, 2, None), root, spec)
+    assert read_final(spark, root, spec).count() == 1

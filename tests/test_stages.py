@@ -8,7 +8,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from stagecheck import names
+from stagecheck import names, snapshots
 from stagecheck.plans import load, reconcile
 from stagecheck.plans.tables import ROUTING, SPECS, spec_for
 from stagecheck.sinks.tables import delete_file, reload_file, stored_collisions
@@ -133,6 +133,23 @@ def test_product_file_feeds_two_tables(spark, tmp_path):
     assert got == [(0, 1, 8), (1, 1, 9), (2, 2, None), (3, 3, 11)]
 
 
+def test_ids_of_a_derived_table_go_on_over_files(spark, tmp_path):
+    spec, staging, final = spec_for("PRODUCT_SECONDARY_CATEGORY"), f"{tmp_path}/staging", f"{tmp_path}/final"
+    lists = {"1.1": ['"8, 9"', "5"], "2.2": ["4", '"1,2,3"'], "3.3": ["6"]}
+    for day, (stamp, cells) in enumerate(lists.items()):
+        path = tmp_path / f"PRODUCT_DETAILS~{stamp}.csv"
+        path.write_text("id,id_category_secondary,file_hash\n" + "".join(f"{10 * day + i},{c},x\n" for i, c in enumerate(cells)))
+        load.load_stage1(spark, str(path), path.name, spec, staging)
+        load.load_stage2(spark, path.name, spec, staging, final, check_references=False)
+    rows = lambda: sorted(tuple(r)[:3] for r in read_final(spark, final, spec).collect())
+    want = [(0, 0, 8), (1, 0, 9), (2, 1, 5), (3, 10, 4), (4, 11, 1), (5, 11, 2), (6, 11, 3), (7, 20, 6)]
+    assert rows() == want
+    name = "PRODUCT_DETAILS~2.2.csv"
+    load.load_stage1(spark, str(tmp_path / name), name, spec, staging, mode="overwrite")
+    load.load_stage2(spark, name, spec, staging, final, mode="overwrite", check_references=False)
+    assert rows() == want
+
+
 def test_reload_is_idempotent_and_keeps_other_files(spark, tmp_path):
     spec, staging = spec_for("PRODUCT_COUNTRY"), f"{tmp_path}/staging"
     one, one_name = source_file(tmp_path, spec, rows=3, stamp="1.1")
@@ -274,8 +291,8 @@ def test_config_mappings_hold_as_written(spark, tmp_path):
     path.write_text("number,title,file_hash\n" + "".join(f"{i},t{i},{digest(f'{i}t{i}')}\n" for i in range(4)))
     first, second = both_stages(spark, tmp_path, spec, str(path), path.name)
     assert report(spark, first.summary) == report(spark, second.summary) == {"FAILED": "0", "PASSED": "4"}
-    assert spark.read.parquet(f"{tmp_path}/final/BRANDS").columns == ["id", "name", "origin_file"]
-    assert "brand_title" in spark.read.parquet(f"{tmp_path}/staging/STAGED_BRANDS").columns
+    assert snapshots.read(spark, f"{tmp_path}/final/BRANDS").columns == ["id", "name", "origin_file"]
+    assert "brand_title" in snapshots.read(spark, f"{tmp_path}/staging/STAGED_BRANDS").columns
 
 
 def test_stream_loads_each_file_once(spark, tmp_path):

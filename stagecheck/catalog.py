@@ -18,6 +18,7 @@ from stagecheck.operators import audit, cleaning, ledger, mapping, matching, num
 from stagecheck.plans import load, reconcile
 from stagecheck.sinks import files as file_sinks, tables as table_sinks
 from stagecheck.sources import files as file_sources
+from stagecheck.sources.quoted import read_quoted_file
 from stagecheck.sources.tables import query_frames, read_final, read_staged, table_path
 from stagecheck.spec import Column, ColumnMapping, ForeignKey, TableSpec, specs_from_config
 from stagecheck.storage import pin, scratch_path
@@ -511,6 +512,16 @@ def flat_file_scan(spark, folder):
     return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+@query("SELECT doc_id, text, lang, source FROM documents")
+def quoted_file_scan(spark, folder):
+    """The same through one large file that many tasks read: blocks are cut at true record ends."""
+    path = scratch_path(spark, "quoted")
+    rows = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    rows.coalesce(1).write.options(**file_sinks.WRITE_OPTIONS).csv(path)
+    back = read_quoted_file(spark, path, rows.columns)
+    return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def _in_file_order(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Records of a dataset with their places in it: part files by name, then as in the file."""
     rows = file_sources.read_flat_file(spark, path, columns, multi_line=True).select(

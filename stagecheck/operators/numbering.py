@@ -72,6 +72,24 @@ def number_rows(
     return numbered.withColumn(name, F.col("_offset") + F.col(POSITION) + F.lit(start)).drop(SLOT, POSITION, "_offset")
 
 
+def number_within(
+    df: DataFrame, group: str, order: Sequence[str | Column], start: int = 1, name: str = "number",
+    tie_break: Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """Dense numbers that start anew in each of a few groups, none of them NULL; a group spreads over slots.
+
+    Rows are ordered by group first, so a slot holds few groups and one pass over (slot, group) gives
+    all offsets: one row per slot and one more per group.
+    """
+    slotted = pin(in_slots(df, [group, *order], tie_break), "numbered")
+    sizes = slotted.groupBy(SLOT, group).count()
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ahead = lambda of, by: F.coalesce(F.sum("count").over(earlier.partitionBy(of).orderBy(by)), F.lit(0))
+    shifts = sizes.select(SLOT, group, (ahead(group, SLOT) - ahead(SLOT, group)).alias("_shift"))
+    numbered = slotted.join(F.broadcast(shifts), [SLOT, group])
+    return numbered.withColumn(name, F.col("_shift") + F.col(POSITION) + F.lit(start)).select(*df.columns, name)
+
+
 def renumber(
     df: DataFrame, key: str, order: Sequence[str | Column], start: int = 1,
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from stagecheck.operators.mapping import apply_mapping, cast_voids, with_origin_
 from stagecheck.sinks.tables import write_final, write_staged
 from stagecheck.snapshots import reserve_numbers
 from stagecheck.sources.files import read_flat_file
+from stagecheck.sources.quoted import read_quoted_file
 from stagecheck.sources.tables import read_staged, table_path
 from stagecheck.spec import ColumnMapping, TableSpec, apply_steps
 from stagecheck.storage import pin_scope
@@ -33,7 +34,7 @@ def load_stage1(
     mode: str = "append", on_bad: str = "null", check_keys: bool = True,
 ) -> None:
     """Load one file into staging. ``mode="overwrite"`` replaces what was staged of this file only."""
-    rows = read_flat_file(spark, path, multi_line=multi_line)
+    rows = read_quoted_file(spark, path) if multi_line else read_flat_file(spark, path)
     with pin_scope(spark):
         staged = run_staging(rows, spec, file_name)
         if spec.own_numbers:

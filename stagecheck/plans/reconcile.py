@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stagecheck import names
 from stagecheck.operators.matching import excluded_summary, final_hashes, recon_summary, with_staged_hash
-from stagecheck.operators.reports import recon1_detail, recon2_detail
+from stagecheck.operators.reports import Detail, detail1, detail2
 from stagecheck.sinks.files import report_path, write_detail, write_summary
 from stagecheck.sinks.tables import archive_path, write_hash_archive
 from stagecheck.sources.files import read_flat_file
+from stagecheck.sources.quoted import read_quoted_file
 from stagecheck.sources.tables import read_final, read_staged
 from stagecheck.spec import TableSpec
 from stagecheck.storage import pin_scope
@@ -36,8 +37,8 @@ def _file_datetime(file_name: str) -> str:
 
 
 def _write_reports(
-    summary: DataFrame, detail: DataFrame, spec: TableSpec, file_name: str, stage: int, report_root: str,
-    hash_root: str,
+    summary: DataFrame, detail: Detail, spec: TableSpec, file_name: str, stage: int, report_root: str,
+    hash_root: str, passed: int | None, failed: int | None,
 ) -> ReconPaths:
     paths = ReconPaths(
         report_path(report_root, spec.name, file_name, stage, "RECON1"),
@@ -45,7 +46,7 @@ def _write_reports(
         archive_path(hash_root, spec.name, stage, _file_datetime(file_name)),
     )
     write_summary(summary, paths.summary)
-    write_detail(detail, paths.detail)
+    write_detail(detail, paths.detail, passed, failed)
     return paths
 
 
@@ -71,7 +72,7 @@ def reconcile_stage1(
         summary_path = report_path(report_root, spec.name, file_name, 1, "RECON1")
         write_summary(excluded_summary(spark.range(0)), summary_path)
         return ReconPaths(summary_path)
-    file_rows = read_flat_file(spark, path, multi_line=multi_line)
+    file_rows = read_quoted_file(spark, path) if multi_line else read_flat_file(spark, path)
     staged = read_staged(spark, staging_root, spec, file_name)
     archive = write_hash_archive(
         with_staged_hash(staged, spec), hash_root, spec.name, 1, _file_datetime(file_name), spec.staged_keys,
@@ -79,7 +80,7 @@ def reconcile_stage1(
     )
     return _write_reports(
         recon_summary(archive, names.PRE_FILE_HASH, names.STAGED_HASH),
-        recon1_detail(file_rows, staged, spec, passed, failed), spec, file_name, 1, report_root, hash_root,
+        detail1(file_rows, staged, spec), spec, file_name, 1, report_root, hash_root, passed, failed,
     )
 
 
@@ -97,5 +98,5 @@ def reconcile_stage2(
     )
     return _write_reports(
         recon_summary(archive, names.STAGED_HASH, names.FINAL_HASH),
-        recon2_detail(staged, final, spec, passed, failed), spec, file_name, 2, report_root, hash_root,
+        detail2(staged, final, spec), spec, file_name, 2, report_root, hash_root, passed, failed,
     )

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stagecheck import names
 from stagecheck.functions.hashing import row_hash
-from stagecheck.operators.reports import REPORT_ORDER
-from stagecheck.sources.files import FILE_ORDER, file_manifest, read_flat_file
+from stagecheck.operators.reports import REPORT_ORDER, Detail
+from stagecheck.sources.files import FILE_ORDER, file_manifest
+from stagecheck.sources.quoted import PLACE, read_quoted_file
 from stagecheck.storage import delete_path
 
 # Blank cells are written as nothing at all, quotes inside a cell are doubled, and outer
@@ -34,9 +35,15 @@ def write_summary(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
-def write_detail(report: DataFrame, path: str) -> None:
-    """Part files that, read by name, are in report order; with header even when empty."""
-    ordered = report.orderBy(*REPORT_ORDER).drop(*REPORT_ORDER)
+def write_detail(detail: Detail, path: str, passed: int | None = None, failed: int | None = None) -> None:
+    """Part files that, read by name, are in report order; with header even when empty.
+
+    A complete report is sorted once, on its way to the files; one that is cut is sorted after that.
+    """
+    if passed is None and failed is None:
+        ordered = detail.in_order()
+    else:
+        ordered = detail.lines(passed, failed).orderBy(*REPORT_ORDER).drop(*REPORT_ORDER)
     ordered.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
@@ -62,12 +69,6 @@ def extract_counts(df: DataFrame, group: str = names.PRE_ORIGIN_FILE) -> DataFra
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _records(spark: SparkSession, source: str) -> DataFrame:
-    """Whole records of a delimited dataset, quoted line breaks included, with file and place in it."""
-    rows = read_flat_file(spark, source, multi_line=True)
-    return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
-
-
 def _contents(rows: DataFrame) -> tuple:
     """Number of rows and a sum over their hashes, equal for equal bags of rows."""
     value = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
@@ -80,17 +81,17 @@ def archive_dataset(
 ) -> bool:
     """Compress a delimited dataset into ``target`` and, on request, drop the original after that.
 
-    A record may hold line breaks, so each file is read by one task. The original goes only once
-    the copy, read back, has as many rows with the same hashes; else ValueError is raised.
+    Records may hold line breaks. The original goes only once the copy, read back, has as many
+    rows with the same hashes; else ValueError is raised.
     """
     if not enabled:
         return False
     if codec not in CODECS:
         raise ValueError(f"codec must be one of {CODECS}, not {codec!r}")
-    rows = read_flat_file(spark, source, multi_line=True)
+    rows = read_quoted_file(spark, source)
     rows.write.mode("overwrite").options(**WRITE_OPTIONS).option("compression", codec).csv(target)
     if drop_source:
-        if _contents(rows) != _contents(read_flat_file(spark, target, rows.columns, multi_line=True)):
+        if _contents(rows) != _contents(read_quoted_file(spark, target, rows.columns)):
             raise ValueError(f"{target} does not hold what {source} holds; nothing is dropped")
         delete_path(spark, source)
     return True
@@ -106,9 +107,9 @@ def compact_dataset(
     if target_files is None:
         size = file_manifest(spark, source).agg(F.sum("length").alias("size")).first()["size"] or 0
         target_files = max(1, math.ceil(size / target_bytes))
-    rows = _records(spark, source)
-    ordered = rows.repartitionByRange(target_files, "_file", "_row").sortWithinPartitions("_file", "_row")
-    ordered.drop("_file", "_row").write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
+    rows = read_quoted_file(spark, source, places=True)
+    ordered = rows.repartitionByRange(target_files, *PLACE).sortWithinPartitions(*PLACE)
+    ordered.drop(*PLACE).write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
     return target_files
 
 

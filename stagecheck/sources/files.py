@@ -31,7 +31,7 @@ def read_flat_file(
     """Comma-separated file with header and double quotes, every column text, blank cells ``''``.
 
     Giving ``columns`` saves the look at the header. ``multi_line`` lets quoted cells hold line
-    breaks, at the price that a file can no longer be split over tasks.
+    breaks, at the price that a file is read by one task; ``read_quoted_file`` reads it by many.
     """
     names = list(columns) if columns else file_header(spark, path if isinstance(path, str) else path[0], multi_line)
     reader = _reader(spark, multi_line).option("enforceSchema", False)

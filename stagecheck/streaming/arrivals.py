@@ -19,18 +19,19 @@ from stagecheck.spec import TableSpec, apply_steps
 
 def load_arrivals(
     spark: SparkSession, folder: str, columns: list[str], spec: TableSpec, staging_root: str, checkpoint: str,
-    files_per_batch: int = 100,
+    files_per_batch: int = 100, multi_line: bool = False,
 ) -> StreamingQuery:
     """Load every file of ``folder`` not loaded yet, then stop. Call again when more have come.
 
     Tables derived from another table's file number their rows per file, so they are loaded
-    file by file with ``load_stage1``.
+    file by file with ``load_stage1``. ``multi_line`` lets quoted cells hold line breaks; each file
+    is then read by one task.
     """
     if spec.file_columns is not None:
         raise ValueError(f"{spec.name} is derived from another file; load it with load_stage1")
     files = (
         spark.readStream.option("header", True).option("escape", '"')
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFilesPerTrigger", files_per_batch).option("multiLine", multi_line)
         .schema(", ".join(f"`{c}` string" for c in columns)).csv(folder)
         .withColumn(names.PRE_ORIGIN_FILE, F.col("_metadata.file_name"))
         .fillna("")

@@ -307,3 +307,18 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert counts == {"PRODUCT_BRAND~1.1.csv": 3, "PRODUCT_BRAND~2.2.csv": 4}
     with pytest.raises(ValueError):
         load_arrivals(spark, str(inbox), columns, spec_for("PRODUCT_SECONDARY_CATEGORY"), staging, "x")
+
+
+def test_quoted_line_breaks_through_stages_and_stream(spark, tmp_path):
+    spec = spec_for("PRODUCT_COUNTRY")
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    path, name = source_file(inbox, spec, rows=3, change=lambda v, row: v.update(name=f"two\nlines, \"{row}\""))
+    staging = f"{tmp_path}/staging"
+    load.load_stage1(spark, path, name, spec, staging, multi_line=True)
+    done = reconcile.reconcile_stage1(spark, path, name, spec, staging, f"{tmp_path}/reports", f"{tmp_path}/hashes", multi_line=True)
+    assert report(spark, done.summary) == {"FAILED": "0", "PASSED": "3"}
+    want = sorted(tuple(r) for r in read_staged(spark, staging, spec).collect())
+    load_arrivals(spark, str(inbox), [c.name for c in spec.columns] + [names.FILE_HASH], spec, f"{tmp_path}/streamed",
+                  f"{tmp_path}/checkpoint", multi_line=True).awaitTermination(120)
+    assert sorted(tuple(r) for r in read_staged(spark, f"{tmp_path}/streamed", spec).collect()) == want

@@ -34,9 +34,14 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    own(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def own(path: str) -> None:
+    """Let the innermost scope, if there is one, delete ``path`` at its end."""
     if (scope := _pinned.get()) is not None:
         scope.append(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

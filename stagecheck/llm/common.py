@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stagecheck.storage import scratch_path
+from stagecheck.storage import own, scratch_path
 
 #: What a word is wherever a contract does not say otherwise.
 WORD = re.compile(r"\w+")
@@ -20,11 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so that a lost executor costs no recomputation."""
+def settle(df: DataFrame, name: str, owned: bool = True) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, so that a lost executor costs no recomputation.
+
+    If ``owned``, the innermost ``pin_scope`` deletes the table at its end.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    if owned:
+        own(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stagecheck.llm.common import first_columns, mix, texts_of, with_text
+from stagecheck.llm.common import first_columns, free_names, mix, texts_of, with_text
 
 UNKNOWN = "und"
 #: Labelled rows that are learned from, for each language, on average; the sample is at most four times that.
@@ -232,9 +232,13 @@ class Predictor:
 
 
 def predict_languages(df: DataFrame, model: LanguageModel | None, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep``, lang_pred, score and rejected for every row; ``df``'s text only is looked at."""
+    """``keep``, lang_pred, score and rejected for every row; ``df``'s text only is looked at.
+
+    Result columns whose names kept columns bear get underscores at their end.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
     own, body, kept = with_text(df, keep, text)
+    names = free_names(("lang_pred", "score", "rejected"), keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -246,9 +250,9 @@ def predict_languages(df: DataFrame, model: LanguageModel | None, text: str = "t
             yield pa.RecordBatch.from_arrays(
                 [*first_columns(batch, keep), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64()),
                  pa.array(rejected, pa.bool_())],
-                names=[*keep, "lang_pred", "score", "rejected"])
+                names=[*keep, *names])
 
-    return own.mapInArrow(run, f"{kept}, lang_pred string, score double, rejected boolean")
+    return own.mapInArrow(run, f"{kept}, {names[0]} string, {names[1]} double, {names[2]} boolean")
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from stagecheck.llm.common import WORD, mix, passes, settle, sieve, text_key, texts_of
+from stagecheck.llm.common import WORD, free_names, mix, passes, settle, sieve, text_key, texts_of
 from stagecheck.llm.graph import components
 
 SHINGLE = 5
@@ -314,41 +314,11 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", similarity:
     groups = near_duplicates(df, text, key, similarity)
     first = groups.groupBy("root", "text_key", "rid").agg(F.min(key).alias("key"), F.count("*").alias("rows"))
     first = first.groupBy("root").agg(F.min(F.struct("key", "text_key", "rid", "rows")).alias("k"))
-    kept = settle(first.select(F.col("k.text_key").alias("_text_key"), F.col("k.rid").alias("_rid"), F.col("k.rows").alias("_rows")), "bag-kept")
-    named = df.select("*", text_key(text).alias("_text_key"), F.xxhash64(key).alias("_rid"))
+    own, rid, rows = free_names(("_text_key", "_rid", "_rows"), df.columns)
+    kept = settle(first.select(F.col("k.text_key").alias(own), F.col("k.rid").alias(rid), F.col("k.rows").alias(rows)), "bag-kept")
+    named = df.select("*", text_key(text).alias(own), F.xxhash64(key).alias(rid))
     # The kept keys are the small side: hashed, so that the texts need no sorting.
-    found = named.join(kept.hint("shuffle_hash"), ["_text_key", "_rid"])
-    once = found.where(F.col("_rows") == 1)
-    repeated = found.where(F.col("_rows") > 1).dropDuplicates(["_text_key", "_rid"])
+    found = named.join(kept.hint("shuffle_hash"), [own, rid])
+    once = found.where(F.col(rows) == 1)
+    repeated = found.where(F.col(rows) > 1).dropDuplicates([own, rid])
     return once.unionByName(repeated).select(*df.columns)
-
-
-def _texts_of_nodes(df: DataFrame, rows: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
-    """(node, text): of equal texts one row is picked before texts move, so copies do not gather."""
-    picked = rows.join(nodes, "node").groupBy("node").agg(F.min(F.struct("text_key", "rid")).alias("p")).select("node", "p.*")
-    source = df.select(text_key(text).alias("text_key"), F.xxhash64(key).alias("rid"), F.coalesce(text, F.lit("")).alias("text"))
-    return source.join(picked, ["text_key", "rid"]).select("node", "text").dropDuplicates(["node"])
-
-
-def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members that have not led yet, with their components, of the buckets where these are of more than one component."""
-    if roots is None:
-        return members.withColumn("root", F.col("node"))
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"))
-    return placed.join(open_.where(F.col("first") != F.col("last")).select("bucket"), "bucket")
-
-
-def _leaders(placed: DataFrame, first: bool) -> DataFrame:
-    """Members that the others of their bucket are compared with next.
-
-    At first the least of each bucket, which mostly leads all its buckets. Then those outside the
-    bucket's largest component, for one of them is part of every pair that is left; ``LEADERS`` at most.
-    """
-    if first:
-        return placed.groupBy("bucket").agg(F.min("node").alias("node")).withColumn("root", F.col("node"))
-    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-    outside = placed.join(largest, "bucket").where(F.col("root") != F.col("largest"))
-    lane = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
-    return outside.groupBy("bucket", lane.alias("lane")).agg(F.min(F.struct("node", "root")).alias("l")).select("bucket", "l.*")

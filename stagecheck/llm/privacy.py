@@ -1,32 +1,37 @@
 """Operator 8: personal data, and the terms that would give it away.
 
 Emails, addresses, cards and phone numbers are found by pattern in whole texts. Each found value
-is a protected entity; the whole text that holds it is its context. A term discloses an entity as far as
-their pointwise mutual information reaches the entity's own information content,
-
-    PMI(e; t) / IC(e)  with  PMI = log2(N n(e, t) / (n(e) n(t)))  and  IC = log2(N / n(e)),
-
-where all four count different texts: N all of them, n(t) those with the term, n(e) those with the
-entity and n(e, t) those with both; copies of a text add nothing. A term is a word outside all found
-values. From ``GENERALISE`` on it is generalised, from ``REMOVE`` on removed, wherever it stands in any text,
-also in one without the entity, if at least ``SUPPORT`` different texts speak for it.
+is a protected entity; the whole text that holds it is its context. How strongly a term t reveals an
+entity e is estimated from co-occurrence: of the n(t) different texts with the term n(e, t) hold the
+entity, and the lower confidence bound q of n(e, t) / n(t) leaves -log2 q bits unknown about the entity to
+whoever reads the term. Up to one bit (q of ``GENERALISE``) the term is generalised in the entity's texts; from
+``REMOVE`` on it is removed, and that in every text. The bound does not depend on the size of the corpus. The
+coincidence must be more than chance, too: its divergence from the entity's share p of all texts,
+n(t) KL(n(e, t) / n(t) || p) bits, has to exceed the logarithm of the number of terms by ``SURPLUS``, so
+that by chance not even one term of the corpus is expected to pass. Copies of a text add nothing to any count.
+
+Entities that occur in the same texts have the same counts with every term, and so have terms that do. Both
+are counted as one class, by two 64-bit sums over their texts; a text with thousands of addresses
+and words is a product of few classes.
 
 Only DataFrame operations. Document frequencies combine per task before their shuffle; texts are joined
 by keys that no two rows share, so that no entity, term or copied text makes a task long. Patterns never back up or start
 twice in one run of characters, so long runs stay linear.
 
 Defined cases: a null text counts as empty; repeated rows are judged alike and each returned; equal
-starts go by kind in the order of ``KINDS``; an entity that every document holds discloses nothing;
-an empty table gives no rows; other columns are passed by.
+starts go by kind in the order of ``KINDS``; an entity of a single text, or that every document holds, has no terms;
+an empty table gives no rows; other columns are passed by, those of ``keep`` whatever their names: result columns
+whose names they bear get underscores at their end.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stagecheck.llm.common import settle, text_key
+from stagecheck.llm.common import free_names, settle, text_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # A match can only begin where its run begins, or where the last match ended.
@@ -40,9 +45,14 @@ PATTERNS = {
 #: Text without this holds no match; it saves the pattern's two passes.
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 SUPPORT = 2
-#: Rows of a narrow table up to which a join with texts sends it to the tasks.
-SENT = 2_000_000
-GENERALISE, REMOVE = 0.8, 0.95
+#: Bytes of a narrow table up to which a join with texts sends it to the tasks.
+SENT_BYTES = 64 << 20
+#: Lower bounds of the share of a term's texts that hold the entity: one bit, and a seventh of a bit, are left.
+GENERALISE, REMOVE = 0.5, 0.9
+#: One standard error below the estimate, by Wilson's interval.
+Z = 1.0
+#: Bits by which the evidence for a term exceeds the logarithm of the number of terms.
+SURPLUS = 4.0
 _WORD = r"\p{L}{3,}"
 
 
@@ -139,34 +149,77 @@ def _places(told: Column) -> Column:
     return F.when(F.size("_words") > 0, walked).otherwise(none)
 
 
-def _sent(keys: DataFrame) -> DataFrame:
-    """``keys`` sent to all tasks if there are few, so that no texts move to meet them; the join's rows are the same."""
-    return F.broadcast(keys) if keys.count() <= SENT else keys
+def _sent(keys: DataFrame, column: str) -> DataFrame:
+    """``keys`` sent to all tasks if they are small, so that no texts move to meet them; the join's rows are the same."""
+    size = keys.agg(F.coalesce(F.sum(F.octet_length(F.col(column).cast("string")) + 64), F.lit(0))).first()[0]
+    return F.broadcast(keys) if size <= SENT_BYTES else keys
+
+
+def _same_texts(name: str) -> Column:
+    """Stands for a set of texts, from its size and two sums over its members."""
+    sums = [F.bit_xor(F.xxhash64(F.lit(seed), "_row")) for seed in (1, 2)]
+    return F.concat_ws(":", F.count("*"), *sums).alias(name)
+
+
+def wilson(part: Column, whole: Column) -> Column:
+    """Lower bound of a share."""
+    share, z2 = part / whole, F.lit(Z * Z)
+    spread = Z * F.sqrt(share * (1 - share) / whole + z2 / (4 * whole * whole))
+    return (share + z2 / (2 * whole) - spread) / (1 + z2 / whole)
+
+
+def divergence(part: Column, whole: Column, prior: Column) -> Column:
+    """Bits that tell the share of ``part`` in ``whole`` from ``prior``, over all of ``whole``; 0 if it is not above it."""
+    share = part / whole
+    rest = F.when(share < 1, (whole - part) * F.log2((1 - share) / (1 - prior))).otherwise(0.0)
+    return F.when(share > prior, part * F.log2(share / prior) + rest).otherwise(0.0)
 
 
-def disclosing_terms(rows: DataFrame, free: Column) -> DataFrame:
-    """(term, disclosure) of the terms that pass ``GENERALISE`` for some entity, with the highest of their disclosures.
+def disclosing_terms(rows: DataFrame, free: Column) -> tuple[DataFrame, DataFrame]:
+    """The terms that give entities away, and the entities' classes.
 
-    ``rows`` holds _row, _copy, which rows of one text share, and _entities; ``free`` is the text outside them.
+    The first holds (term, of, disclosure): the class of entities that the term discloses, and the bound. The
+    second holds (entity, of). ``rows`` holds _row, _copy, which rows of one text share, and _entities; ``free``
+    is the text outside them.
     """
     first = rows.groupBy("_copy").agg(F.min("_row").alias("_row"))
     extra = settle(rows.select("_row").join(first, "_row", "left_anti"), "private-copies")
-    texts = rows.join(_sent(extra), "_row", "left_anti")
+    texts = rows.join(_sent(extra, "_row"), "_row", "left_anti")
     documents = rows.count() - extra.count()
     holding = texts.where(F.size("_entities") > 0)
-    pairs = holding.select("_row", F.explode("_entities").alias("entity"))
-    pairs = settle(pairs, "private-pairs")
-    entities = pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).where((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < documents))
-    entities = settle(entities, "private-entities")
-    judged = pairs.join(entities, "entity").groupBy("_row").agg(F.collect_list("entity").alias("_judged"))
-    found = holding.select("_row", free.alias("_free")).join(judged, "_row").select(F.explode("_judged").alias("entity"), _terms(F.col("_free")).alias("_terms"))
-    both = found.select("entity", F.explode("_terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("both"))
-    words = texts.select(F.explode(_terms(free)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    content = F.log2(F.lit(float(max(documents, 1))) / F.col("n_entity"))
-    shared = F.log2(documents * F.col("both") / (F.col("n_entity") * F.col("df")))
-    scored = both.where(F.col("both") >= SUPPORT).join(entities, "entity").join(words, "term")
-    return scored.withColumn("disclosure", shared / content).where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(
-        F.max("disclosure").alias("disclosure"))
+    pairs = settle(holding.select("_row", F.explode("_entities").alias("entity")), "private-pairs")
+    entities = pairs.groupBy("entity").agg(F.count("*").alias("n_entity"), _same_texts("of"))
+    entities = settle(entities.where((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < documents)), "private-entities")
+    classes = settle(pairs.join(entities, "entity").select("_row", "of", "n_entity").distinct(), "private-classes")
+    words = texts.select("_row", F.explode(_terms(free)).alias("term")).groupBy("term").agg(
+        F.count("*").alias("df"), _same_texts("alike"))
+    words = settle(words, "private-words")
+    needed = math.log2(max(2, words.count())) + SURPLUS
+    # A term of more texts than this can't be told by any entity.
+    most = (classes.agg(F.max("n_entity")).first()[0] or 0) / GENERALISE
+    usual = words.where((F.col("df") >= SUPPORT) & (F.col("df") <= most))
+    read = holding.select("_row", free.alias("_free")).join(_sent(classes.select("_row").distinct(), "_row"), "_row", "left_semi")
+    held = read.select("_row", F.explode(_terms(F.col("_free"))).alias("term")).join(usual, "term").select("_row", "alike", "df").distinct()
+    both = held.join(classes, "_row").where(F.col("df") <= F.col("n_entity") / GENERALISE).groupBy("of", "n_entity", "alike", "df").agg(
+        F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
+    evidence = divergence(F.col("both"), F.col("df"), F.col("n_entity") / float(max(documents, 1)))
+    scored = both.withColumn("disclosure", wilson(F.col("both"), F.col("df")))
+    told = scored.where((F.col("disclosure") >= GENERALISE) & (evidence >= needed)).select("of", "alike", "disclosure")
+    return usual.join(told, "alike").select("term", "of", "disclosure"), entities.select("entity", "of")
+
+
+def _told(rows: DataFrame, free: Column) -> DataFrame:
+    """(_row, _told): for every row with such terms, each of them with how much it discloses there."""
+    terms, classes = (settle(d, "private-disclosing") for d in disclosing_terms(rows, free))
+    by_term = terms.groupBy("term").agg(
+        F.max("disclosure").alias("most"), F.map_from_entries(F.collect_list(F.struct("of", "disclosure"))).alias("own"))
+    hits = rows.select("_row", F.explode(_terms(free)).alias("term")).join(_sent(settle(by_term, "private-terms"), "term"), "term")
+    holding = rows.select("_row", F.explode("_entities").alias("entity")).join(_sent(classes, "entity"), "entity")
+    holding = holding.groupBy("_row").agg(F.collect_set("of").alias("_of"))
+    near = F.array_max(F.transform(F.array_intersect(F.map_keys("own"), "_of"), lambda c: F.element_at("own", c)))
+    found = F.when(F.col("most") >= REMOVE, F.col("most")).otherwise(near)
+    hits = hits.join(holding, "_row", "left").withColumn("disclosure", found).where(F.col("disclosure").isNotNull())
+    return hits.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_told"))
 
 
 def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), with_text: bool = False) -> DataFrame:
@@ -175,7 +228,8 @@ def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
     ``with_text`` adds ``sanitised``: the text with base spans and generalised terms replaced by
     their kind in angle brackets and removed terms left out.
     """
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"), text_key(text).alias("_copy"),
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_kept")
+    rows = df.select(kept, F.coalesce(F.col(text), F.lit("")).alias("_text"), text_key(text).alias("_copy"),
                      F.monotonically_increasing_id().alias("_row"))
     for kind in PATTERNS:
         rows = _matches(rows, kind)
@@ -186,10 +240,7 @@ def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
     free = _free(F.col("_text"), F.col("_base"))
     entity = lambda m: F.concat_ws(":", m["kind"], F.lower(m["value"]))
     held = rows.withColumn("_entities", F.array_distinct(F.transform("_base", entity)))
-    told = settle(disclosing_terms(held, free), "private-disclosing")
-    hits = rows.select("_row", F.explode(_terms(free)).alias("term")).join(_sent(told), "term")
-    hits = hits.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_told"))
-    out = rows.join(hits, "_row", "left").withColumn("_seen", F.when(F.col("_told").isNotNull(), free))
+    out = rows.join(_told(held, free), "_row", "left").withColumn("_seen", F.when(F.col("_told").isNotNull(), free))
     out = out.withColumn("_words", F.regexp_extract_all("_seen", F.lit(_WORD), F.lit(0))).withColumn("_between", F.split("_seen", _WORD))
     out = out.withColumn("_terms", _places(F.col("_told")))
     own = F.transform(F.coalesce("_terms", F.array().cast(_PLACES)), lambda t: F.struct(
@@ -202,7 +253,8 @@ def find_private(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
             _spans_text(F.col("_spans")).alias("spans")]
     if with_text:
         made.append(_sanitised(F.col("_text"), F.col("_spans")).alias("sanitised"))
-    return out.select(*keep, *made)
+    names = free_names([*(f"n_{k}" for k in PATTERNS), "base_sha256", "spans", *(["sanitised"] if with_text else [])], keep)
+    return out.select(*[F.col(f"_kept.`{c}`") for c in keep], *[m.alias(n) for m, n in zip(made, names, strict=True)])
 
 
 def _sanitised(text: Column, spans: Column) -> Column:

@@ -23,7 +23,8 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = (
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
 )
-SHARD_BYTES = 64 << 20
+#: Small enough that every given table splits many times, and that some documents are larger than a shard.
+SHARD_BYTES = 16 << 10
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,17 +130,31 @@ LLM_ORACLES: dict[str, str] = {
         SELECT parts.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts LEFT JOIN best USING (page_id)""",
     "op9_sharding": f"""
-        WITH RECURSIVE hashed AS (
+        WITH hashed AS (
             SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash,
                 coalesce(strlen(text), 0)::BIGINT AS n_bytes
             FROM documents),
         sizes AS (
             SELECT depth::INTEGER AS depth, hash >> (60 - depth)::INTEGER AS prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
-            FROM hashed, range(0, 21) AS depths(depth) GROUP BY ALL HAVING sum(n_bytes) <= {SHARD_BYTES}),
+            FROM hashed, range(0, 61) AS depths(depth) GROUP BY ALL HAVING sum(n_bytes) <= {SHARD_BYTES}),
         leaf AS (
             SELECT doc_id, hash, n_bytes, min(depth) AS depth
-            FROM hashed JOIN sizes ON sizes.prefix = hash >> (60 - depth)::INTEGER GROUP BY ALL)
-        SELECT doc_id, 'b' || CASE WHEN depth > 0 THEN lpad(bin(prefix), depth, '0') ELSE '' END AS shard, depth, 0::BIGINT AS page,
-            n_bytes, shard_bytes, shard_rows, false AS oversized
-        FROM leaf JOIN sizes USING (depth) WHERE prefix = hash >> (60 - depth)::INTEGER""",
+            FROM hashed LEFT JOIN sizes ON sizes.prefix = hash >> (60 - depth)::INTEGER GROUP BY ALL),
+        chained AS (
+            SELECT *, n_bytes > {SHARD_BYTES // 2} AS big,
+                row_number() OVER (PARTITION BY hash, n_bytes > {SHARD_BYTES // 2} ORDER BY doc_id) - 1 AS nth,
+                coalesce(sum(n_bytes) OVER (PARTITION BY hash, n_bytes > {SHARD_BYTES // 2} ORDER BY doc_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+            FROM leaf WHERE depth IS NULL),
+        paged AS (
+            SELECT doc_id, hash, n_bytes, (CASE WHEN big THEN 2 * nth + 1 ELSE 2 * (ahead // {SHARD_BYTES // 2}) END)::BIGINT AS page FROM chained),
+        placed AS (
+            SELECT doc_id, depth, prefix, 0::BIGINT AS page, n_bytes, shard_bytes, shard_rows
+            FROM leaf JOIN sizes USING (depth) WHERE prefix = hash >> (60 - depth)::INTEGER
+            UNION ALL
+            SELECT doc_id, 60, hash, page, n_bytes, sum(n_bytes) OVER (PARTITION BY hash, page)::BIGINT, count(*) OVER (PARTITION BY hash, page)
+            FROM paged)
+        SELECT doc_id, 'b' || CASE WHEN depth > 0 THEN lpad(bin(prefix), depth, '0') ELSE '' END AS shard, depth, page,
+            n_bytes, shard_bytes, shard_rows, shard_bytes > {SHARD_BYTES} AS oversized
+        FROM placed""",
 }

@@ -4,6 +4,7 @@ import random
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stagecheck.llm import language, tiling
@@ -29,7 +30,7 @@ def test_run_equals_brute_force(spark):
     first = groups(rows)
     rows = [row for row, group in zip(rows, first, strict=True) if row[0] == group]
     items = tiling.Items([tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()])
-    rows = [r for r in rows if items.judge(r[1], tiling.COVERAGE)[0] < tiling.COVERAGE]
+    rows = [r for r in rows if not items.judge(r[1], tiling.COVERAGE)[2]]
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, SF).collect()}
     assert sorted(got) == sorted(r[0] for r in rows)
@@ -54,3 +55,19 @@ def test_stages_keep_columns_nulls_and_empty_tables(spark):
             left = stage(spark, left, SF)
             assert left.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, left, SF).count() <= frame.count()
+
+
+def test_columns_of_any_name_come_through_every_stage(spark):
+    """Columns named like results and inner columns of every stage, their values compared; no n_chars, lang or source."""
+    names = ["score", "rejected", "lang_pred", "coverage", "items", "item_id", "contaminated", "email", "ip", "card", "phone", "spans",
+             "sanitised", "_row", "_rows", "_rid", "_text_key", "n_email", "_others", "_text", "_key", "a.b", "Label x"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    docs = docs.select("doc_id", "text", "lang", *[F.concat_ws(":", F.lit(n), "doc_id").alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, SF)
+        assert made.columns == docs.columns
+        rows = made.collect()
+        assert len(rows) > 20
+        for r in rows:
+            assert list(tuple(r)[3:]) == [f"{n}:{r.doc_id}" for n in names]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 60

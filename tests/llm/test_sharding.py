@@ -48,9 +48,36 @@ def test_equal_hashes_chain(spark):
         assert total <= 100 or len(members) == 1 and members[0].oversized
 
 
+def test_larger_than_a_shard(spark):
+    """Rows that no shard can hold stand alone; their neighbours are split off no further than needed."""
+    rows = [(i, "x" * (700 if i in (3, 17) else 5)) for i in range(120)]
+    got = {r.doc_id: r for r in assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), 100).collect()}
+    assert len(got) == 120
+    assert {i for i, r in got.items() if r.oversized} == {3, 17} and all(got[i].depth == 60 and got[i].shard_rows == 1 for i in (3, 17))
+    bits = {i: f"{int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16):060b}" for i in range(120)}
+    for i, r in got.items():
+        if not r.oversized:
+            size = lambda depth: sum(len(t) for k, t in rows if bits[k][:depth] == bits[i][:depth])
+            assert r.shard == "b" + bits[i][: r.depth] and size(r.depth) <= 100 and (r.depth == 0 or size(r.depth - 1) > 100)
+
+
 def test_empty_and_written(spark, tmp_path):
     df = spark.range(50).selectExpr("id AS doc_id", "repeat('x', 20) AS text")
     assert assign_shards(df.where("false"), 100).count() == 0
-    write_shards(df, assign_shards(df, 100), str(tmp_path / "shards"))
+    directory = write_shards(df, str(tmp_path / "shards"), 100)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == 50 and back.groupBy("_shard").sum().count() == directory.count() >= 10
+    assert directory.agg({"shard_rows": "sum"}).first()[0] == 50
+
+
+def test_written_rows_are_all_there(spark, tmp_path):
+    """Null and repeated keys, columns named like our own."""
+    rows = [(None, "n" * 40, 1, i) for i in range(30)] + [(7, "s" * 30, 2, i) for i in range(20)] + [(i, "t", 3, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, hash int, _shard int")
+    write_shards(df, str(tmp_path / "shards"), 100)
     back = spark.read.parquet(str(tmp_path / "shards"))
-    assert back.count() == 50 and back.groupBy("_shard").sum().count() >= 10
+    assert sorted(map(str, (tuple(r) for r in back.select(*df.columns).collect()))) == sorted(map(str, rows))
+    sizes = back.groupBy("_shard_").agg({"*": "count"}).count()
+    assert sizes >= 80 * 20 // 100
+    named = assign_shards(df.withColumnRenamed("_shard", "page"), 100, key=("doc_id", "page"))
+    assert named.columns == ["doc_id", "page", "shard", "depth", "page_", "n_bytes", "shard_bytes", "shard_rows", "oversized"]

@@ -68,3 +68,53 @@ def test_documents_agree_both_ways(spark):
     assert one == two
     whole = {d.doc_id for d in docs.collect() if any(" ".join(tiling.words(t)) in " ".join(tiling.words(d.text)) for t in plain.values())}
     assert whole <= {r[0] for r in one if r[1]}
+
+
+@pytest.mark.parametrize("limit", [tiling.BROADCAST_WORDS, 0], ids=["broadcast", "join"])
+def test_long_items_word_forms_and_text_ids(spark, limit):
+    long_item = " ".join(f"v{i}" for i in range(600))
+    docs = [(0, " ".join(f"v{i}" for i in range(100, 400))), (1, "so A\u00b2b C d e it is"), (2, " ".join(f"v{i}" for i in range(40))),
+            (3, " ".join(f"v{i}" for k in range(6) for i in range(90 * k, 90 * k + 9)))]
+    items = [("long", long_item), ("square", "a\u00b2b c d e"), ("copy", long_item), ("aaa", None)]
+    rows = tiling.find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"), broadcast_words=limit)
+    got = {r.doc_id: (r.contaminated, r.coverage, r.item_id, r["items"]) for r in rows.collect()}
+    assert got[0] == (True, 0.5, "copy", ["copy", "long"])  # 300 of 600 words: a passage by itself
+    assert got[1] == (True, 1.0, "square", ["square"])
+    assert got[2] == (False, 0.0, None, [])
+    assert got[3] == (True, 0.09, "copy", ["copy", "long"])  # 54 words in six pieces
+
+
+def test_repetitive_texts_stay_small():
+    """A word said 4,000 and 8,000 times makes 32 million pairs of equal seeds, and 12,000 diagonals."""
+    item, doc = np.full(4000, 7, np.uint64), np.full(8000, 7, np.uint64)
+    assert tiling.tiled(item, doc, 5) == 4000
+    draw = random.Random(2)
+    for _ in range(40):
+        a, b = (np.array(draw.choices([1, 2], k=draw.randint(5, 60)), np.uint64) for _ in range(2))
+        one, two = tiling._maximal(a, b, 5), tiling._along_diagonals(a, b, 5)
+        assert sorted(map(tuple, one.tolist())) == sorted(map(tuple, two.tolist()))
+
+
+def test_usual_seeds_are_left_out_but_lose_nothing(spark):
+    """Items that share a phrase: it is not joined, and every contaminated document is still found."""
+    phrase = " ".join(f"p{i}" for i in range(9))
+    items = [(i, f"{phrase} " + " ".join(f"i{i}x{k}" for k in range(60))) for i in range(40)]
+    frame = spark.createDataFrame([(i, t) for i, t in items], "_key long, _text string").selectExpr("cast(cast(_key as string) as binary) AS _key", "_text")
+    needed = tiling._needed_seeds(tiling._seeds(frame, True), tiling.COVERAGE)
+    held = needed.groupBy("seed").count().where("count > 1").count()
+    assert held == 0 and needed.count() == 40 * (65 - 8)
+    docs = [(i, "so " + t + " it") for i, t in items[:5]] + [(50, phrase), (51, items[7][1].replace("i7x30", "q"))]
+    both = [sorted(tuple(r) for r in tiling.find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+        broadcast_words=n).collect()) for n in (10**6, 0)]
+    assert both[0] == both[1] and [r[0] for r in both[0] if r[1]] == [0, 1, 2, 3, 4, 51]
+
+
+@pytest.mark.parametrize("limit", [tiling.BROADCAST_WORDS, 0], ids=["broadcast", "join"])
+def test_kept_columns_of_any_name(spark, limit):
+    df = spark.createDataFrame([(ITEM, 1, 2, 3, 4, 5)], "text string, coverage int, items int, item_id int, _key int, _0 int")
+    items = spark.createDataFrame(BENCHMARK, "item_id long, text string")
+    got = tiling.find_contamination(df, items, keep=df.columns, broadcast_words=limit)
+    assert got.columns == [*df.columns, "contaminated", "coverage_", "item_id_", "items_"]
+    assert tuple(got.first()) == (ITEM, 1, 2, 3, 4, 5, True, 1.0, 1, [1, 5])

@@ -3,16 +3,17 @@
 Base rules count words, symbols, repeated lines and repeated three-word windows inside each text.
 Texts that pass them are described by four statistics; per language and source a minimum
 covariance determinant estimate is made of these (concentration steps from two deterministic
-starts: medians with quartile scales, and plain moments; the smaller determinant stands), and texts
-far off by Mahalanobis distance are rejected.
+starts, medians with quartile scales and plain moments, each until its determinant no longer falls; the
+smaller one stands), and texts far off by Mahalanobis distance are rejected.
 
 Only DataFrame operations. One pass over the texts; after it only a few numbers a row move, and
-every aggregate combines before its shuffle, so one source may hold any share of the rows. Quantiles
+every aggregate combines before its shuffle, so one source may hold any share of the rows. Estimates, a row
+for each group, are sent to the tasks if they are few, so that rows do not move to meet them. Quantiles
 come from counts of fixed-width bins, which keeps them exact to a bin, mergeable and repeatable.
 
 Defined cases: a null or empty text has no words and fails the base rules; null language or source
-count as empty ones; groups of fewer than ``MIN_GROUP`` texts are pooled by language, and pools
-that are still smaller are not judged (kept); constant statistics are held apart by a floor on
+count as empty ones; groups of fewer than ``MIN_GROUP`` texts are pooled by language, and those of a
+language whose pool is still smaller are judged by an estimate from all texts; constant statistics are held apart by a floor on
 each scale; repeated rows are judged alike; an empty table gives no rows; other columns are passed by.
 """
 
@@ -36,8 +37,11 @@ FLOORS = (0.2, 0.37, 0.5, 0.5)
 #: Bin widths of the quartiles.
 BINS = (0.05, 0.05, 0.05, 0.05)
 SHARE = 0.75  # of a group that the estimate rests on
-STEPS = 3
+#: A concentration step that lowers no log determinant by this much is the last.
+STILL = 1e-6
 MIN_GROUP = 50
+#: Rows of estimates that are sent to the tasks, about 300 bytes each.
+SENT = 100_000
 #: Chi-square, four degrees of freedom, tail 0.001.
 CUTOFF = 18.47
 _MEDIAN = 3.357  # of chi-square with four degrees of freedom
@@ -113,7 +117,7 @@ def _factored(stats: DataFrame) -> DataFrame:
 
 def _distances(rows: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     """``rows`` with ``d2``, the squared Mahalanobis distance, and its bin; null where a group has no estimate."""
-    found = rows.join(stats, list(by), "left")
+    found = rows.join(_sent(stats), list(by), "left")
     for i in _P:
         z = _x(i) - F.col(f"m{i}")
         for k in range(i):
@@ -123,6 +127,10 @@ def _distances(rows: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFram
     return found.withColumn("d2", d2).withColumn("bin", F.floor(16 * F.log2(1 + F.col("d2")))).drop(*[f"z{i}" for i in _P])
 
 
+def _sent(stats: DataFrame) -> DataFrame:
+    return F.broadcast(stats) if stats.count() <= SENT else stats
+
+
 def _edge(bin_: str) -> Column:
     return F.pow(F.lit(2.0), (F.col(bin_) + 1) / 16) - 1
 
@@ -145,18 +153,26 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     plain = _moments(rows, _GROUP).withColumn("start", F.lit("moments"))
     stats = settle(plain.unionByName(medians), "quality-starts")
     twice = rows.withColumn("start", F.explode(F.array(F.lit("medians"), F.lit("moments"))))
-    for step in range(STEPS):
-        far = _distances(twice, stats, by)
-        half = _quantile(far.groupBy(*by, "bin").agg(F.count("*").alias("n")), by, SHARE, "limit")
-        near = far.select(*by, *STATISTICS, "bin").join(half, by).where(F.col("bin") <= F.col("limit"))
-        stats = settle(_moments(near, by), f"quality-step{step}")
+    stats, moving = stats.drop("n"), stats.drop("n")
+    first = True
+    while first or not moving.isEmpty():
+        far = _distances(twice, moving, by).where(F.col("d2").isNotNull())
+        half = settle(_quantile(far.groupBy(*by, "bin").agg(F.count("*").alias("n")), by, SHARE, "limit"), "quality-limits")
+        near = far.select(*by, *STATISTICS, "bin").join(_sent(half), by).where(F.col("bin") <= F.col("limit"))
+        made = settle(_moments(near, by).drop("n"), "quality-step")
+        before = stats.select(*by, F.col("logdet").alias("_before"))
+        # The starts themselves are no concentrated estimates: the first step always takes their place.
+        lower = made.join(_sent(before), by).where(F.lit(first) | (F.col("logdet") < F.col("_before") - STILL)).drop("_before")
+        moving = settle(lower, "quality-moving")
+        stats = settle(stats.join(_sent(moving.select(*by)), by, "left_anti").unionByName(moving), "quality-stats")
+        first = False
     best = stats.groupBy(*_GROUP).agg(F.min(F.struct("logdet", "start", *[c for c in stats.columns if c[0] in "ml" and c != "logdet"])).alias("s"))
     return best.select(*_GROUP, *[F.col(f"s.{c}").alias(c) for c in stats.columns if c[0] in "ml" and c != "logdet"])
 
 
 def judge_quality(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", key: str = "doc_id",
                   cutoff: float = CUTOFF) -> DataFrame:
-    """``key``, the base counts, base_failed, distance (null if not judged) and kept for every row."""
+    """``key``, the base counts, base_failed, distance (null where the base rules fail) and kept for every row."""
     named = df.select(F.col(key).alias("_key"), F.col(text).alias("_body"),
                       F.coalesce(lang, F.lit("")).alias("_lang"), F.coalesce(source, F.lit("")).alias("_source"))
     rows = base_statistics(named, "_body", ("_key", "_lang", "_source"))
@@ -170,17 +186,22 @@ def judge_quality(df: DataFrame, text: str = "text", lang: str = "lang", source:
         "repeat_share": share("repeat_share", "n_repeat_words", "n_words"),
     }), "quality-rows")
     passed = rows.where(~F.col("base_failed"))
-    sizes = passed.groupBy(*_GROUP).agg(F.count("*").alias("size"))
-    sizes = sizes.withColumn("pool", F.when(F.col("size") >= MIN_GROUP, F.concat(F.lit("="), "_source")).otherwise(F.lit("small")))
-    pools = sizes.groupBy("_lang", "pool").agg(F.sum("size").alias("pooled")).where(F.col("pooled") >= MIN_GROUP)
-    pools = settle(sizes.join(pools, ["_lang", "pool"]).select(*_GROUP, "pool"), "quality-pools")
-    pooled = passed.join(pools, _GROUP).withColumn("_source", F.col("pool"))
+    sizes = settle(passed.groupBy(*_GROUP).agg(F.count("*").alias("size")), "quality-sizes")
+    small = sizes.where(F.col("size") < MIN_GROUP).groupBy("_lang").agg(F.sum("size").alias("pooled"))
+    pool = F.when(F.col("size") >= MIN_GROUP, F.concat(F.lit("="), "_source")).when(F.col("pooled") >= MIN_GROUP, "small").otherwise("all")
+    pools = sizes.join(small, "_lang", "left").withColumn("pool", pool)
+    pools = settle(pools.select(*_GROUP, "pool", F.when(F.col("pool") != "all", F.col("_lang")).otherwise("*").alias("pool_lang")), "quality-pools")
+    own = pools.where(F.col("pool") != "all")
+    pooled = passed.join(_sent(own), _GROUP).withColumns({"_lang": F.col("pool_lang"), "_source": F.col("pool")}).drop("pool", "pool_lang")
+    if own.count() < pools.count():
+        pooled = pooled.unionByName(passed.withColumns({"_lang": F.lit("*"), "_source": F.lit("all")}))
     stats = robust_estimates(pooled)
     far = _distances(pooled.select("_lang", "_source", *STATISTICS), stats, _GROUP)
     half = _quantile(far.groupBy(*_GROUP, "bin").agg(F.count("*").alias("n")), _GROUP, 0.5, "half")
     # A consistency factor brings the median distance to that of normal vectors, but never shrinks the estimate.
     scaled = stats.join(half, _GROUP).withColumn("scale", F.greatest(F.lit(1.0), _edge("half") / _MEDIAN)).drop("half")
-    scaled = settle(scaled.withColumnRenamed("_source", "pool").join(pools, ["_lang", "pool"]).drop("pool"), "quality-estimates")
+    scaled = scaled.withColumnsRenamed({"_lang": "pool_lang", "_source": "pool"}).join(pools, ["pool_lang", "pool"])
+    scaled = settle(scaled.drop("pool_lang", "pool"), "quality-estimates")
     judged = _distances(rows, scaled, _GROUP)
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
     return judged.select(

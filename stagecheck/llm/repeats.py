@@ -5,16 +5,18 @@ trigger, so that equal strings are cut alike wherever they stand. The trigger of
 its least window hash, so each string of that length holds one (no stretch is without), and the
 starts of one trigger form a phrase: from its first start to 199 bytes after its last.
 
-Only phrases whose trigger occurs again can hold a repeated string. They form the dictionary. A
-phrase that occurs twice is repeated in all its starts at once, however long the copies are. Of
-the rest, the phrases that share a trigger with a different phrase have all their suffixes put in
-order with those of the others, cut to 200 bytes: equal neighbours are repeats. The order is that of
-128-bit fingerprints instead of bytes, for only equality of neighbours counts; it lets Spark's hash
-aggregates do the sorting, map side first, so no trigger's phrases need to meet in one task.
+Only phrases whose trigger occurs again can hold a repeated string. They form the dictionary; the parse
+says how often and where each stands. A phrase that occurs twice in the parse is repeated in all its starts at
+once, however long the copies are. Of the rest, the phrases that share a trigger with a different
+phrase get a suffix array, in the order of bytes, by prefix doubling: ranks of 8 bytes are doubled to 128, and
+two of these make 200. Equal neighbours in that order are repeats. Phrases reach 199 bytes beyond their
+last start, so the order of the dictionary decides alone, and suffixes of different triggers are never
+equal: the corpus order is made trigger by trigger, and the triggers' orders are not merged.
 
 Every step keeps large groups out of single tasks: counts combine before the shuffle, joins have one
-side with a row for each key, and triggers with more than ``GROUP`` different phrases are ordered by
-a shuffle of all their starts instead of in one task. Two bitmaps of fixed size spare the shuffles
+side with a row for each key, and triggers with more than ``GROUP`` different phrases are not ordered in
+one task: 128-bit fingerprints of all their starts are counted by a shuffle instead, as equal starts have
+equal ones and different starts have not. Two bitmaps of fixed size spare the shuffles
 most phrases and texts without a repeated trigger. Texts move once.
 
 Defined cases: null counts as empty; texts under 200 bytes are kept whole; repeated rows repeat each
@@ -174,12 +176,58 @@ def _starts(raw: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return phrase, rolling.of(at, at + LENGTH, 0), rolling.of(at, at + LENGTH, 1)
 
 
+def byte_ranks(buffer: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the ``length`` bytes (eight times a power of two) from each place on; equal bytes have equal ranks.
+
+    A rank is the number of places with smaller bytes. Once ranked by 8 bytes, only places that are still
+    tied are ordered again, by their rank and the rank of the place behind what was compared.
+    """
+    size = len(buffer)
+    padded = np.concatenate([buffer, np.zeros(8, np.uint8)])
+    key = np.zeros(size, np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | padded[k : k + size]
+    order = np.argsort(key, kind="stable")
+    fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    rank = np.empty(size, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(size), 0))
+    tied = order[~(fresh & np.append(fresh[1:], True))]
+    width = 8
+    while width < length and len(tied):
+        behind = tied + width
+        second = np.where(behind < size, rank[np.minimum(behind, size - 1)] + 1, 0)
+        key = rank[tied] * (size + 1) + second
+        order = np.argsort(key, kind="stable")
+        tied, key = tied[order], key[order]
+        before, at = rank[tied], np.arange(len(tied))
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])
+        group = np.concatenate([[True], before[1:] != before[:-1]])
+        rank[tied] = before + np.maximum.accumulate(np.where(fresh, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+        tied = tied[~(fresh & np.append(fresh[1:], True))]
+        width *= 2
+    return rank
+
+
+def suffix_array(raw: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrase of every 200-byte string in the phrases ``raw``, their order, and whether each equals the one before it.
+
+    Strings are numbered phrase by phrase, start by start.
+    """
+    borders = np.cumsum([0, *map(len, raw)])
+    counts = np.diff(borders) - LENGTH + 1
+    phrase = np.repeat(np.arange(len(raw)), counts)
+    at = borders[phrase] + np.arange(len(phrase)) - np.repeat(np.cumsum(counts) - counts, counts)
+    half = 128
+    rank = byte_ranks(np.frombuffer(b"".join(raw), np.uint8), half)
+    key = rank[at] * len(rank) + rank[at + LENGTH - half]
+    order = np.argsort(key, kind="stable")
+    return phrase, order, key[order][1:] == key[order][:-1]
+
+
 def _in_order(group: DataFrame) -> DataFrame:
     """Ranges (key, at, n) of repeated starts among the phrases of one trigger, in the task that has them all."""
     def ranges(rows: list[tuple]) -> pa.RecordBatch:
-        phrase, f1, f2 = _starts([r[3] for r in rows])
-        order = np.lexsort((f2, f1))
-        same = (f1[order][1:] == f1[order][:-1]) & (f2[order][1:] == f2[order][:-1])
+        phrase, order, same = suffix_array([r[3] for r in rows])
         repeated = np.zeros(len(order), bool)
         repeated[order[1:][same]] = True
         repeated[order[:-1][same]] = True

@@ -1,9 +1,13 @@
 """Base counts against brute force; robust distances against numpy."""
 
+import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
+
+from stagecheck.llm import quality
 from stagecheck.llm.quality import CUTOFF, judge_quality
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -84,3 +88,60 @@ def test_every_statistic_rejects_alone(spark):
     assert all(got[i].kept for i in range(150)) and got[1004].kept
     assert not any(got[1000 + i].base_failed for i in range(5))
     assert [name for i, name in enumerate(planted) if got[1000 + i].kept] == []
+
+
+def mcd(x, floors, share=quality.SHARE):
+    """Minimum covariance determinant by concentration steps in numpy, with exact order statistics."""
+    ridge = np.diag(np.square(floors))
+    low, middle, high = (np.quantile(x, q, axis=0) for q in (0.25, 0.5, 0.75))
+    best = None
+    for centre, scatter in ((middle, np.diag(((high - low) / 1.349) ** 2) + ridge), (x.mean(0), np.cov(x.T, bias=True) + ridge)):
+        last = np.inf
+        while True:
+            d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
+            near = x[d2 <= np.sort(d2)[math.ceil(share * len(x)) - 1]]
+            centre, scatter = near.mean(0), np.cov(near.T, bias=True) + ridge
+            det = np.linalg.slogdet(scatter)[1] / 2
+            if det > last - 1e-6:
+                break
+            last = det
+        if best is None or last < best[0]:
+            best = last, centre, scatter
+    return best[1:]
+
+
+def test_verdicts_agree_with_numpy(spark):
+    """Every text that passes the base rules is judged, and as exact concentration steps would judge it."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = judge_quality(df).collect()
+    assert all(r.base_failed or r.distance is not None for r in rows)
+    where = {r.doc_id: (r.lang or "", r.source or "", len([s for s in (r.text or "").split("\n") if WORD.search(s)])) for r in df.collect()}
+    passed = [r for r in rows if not r.base_failed]
+    x = {r.doc_id: [r.word_chars / r.n_words, *(math.log1p(a / max(b, 1) / u) for a, b, u in (
+        (r.n_symbols, r.word_chars, 0.005), (r.n_dup_lines, where[r.doc_id][2], 0.05), (r.n_repeat_words, r.n_words, 0.05)))] for r in passed}
+    sizes = Counter(where[r.doc_id][:2] for r in passed)
+    pool = {g: g if n >= quality.MIN_GROUP else g[0] for g, n in sizes.items()}
+    same = total = 0
+    for group in set(pool.values()):
+        ids = [i for i in x if pool[where[i][:2]] == group]
+        if len(ids) < quality.MIN_GROUP:
+            continue
+        points = np.array([x[i] for i in ids])
+        centre, scatter = mcd(points, quality.FLOORS)
+        d2 = np.einsum("ij,jk,ik->i", points - centre, np.linalg.inv(scatter), points - centre)
+        kept = d2 / max(1.0, np.median(d2) / 3.357) <= CUTOFF
+        got = {r.doc_id: r.kept for r in passed}
+        same += sum(bool(k) == got[i] for k, i in zip(kept, ids))
+        total += len(ids)
+    assert total > 200 and same >= 0.99 * total
+
+
+def test_small_groups_are_judged_by_all_texts(spark):
+    draw = random.Random(2)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 8))) for _ in range(300)]
+    text = lambda k=80: " ".join(draw.choices(words, k=k))
+    rows = [(i, text(), "en", "a") for i in range(90)] + [(200 + i, text(), "de", f"s{i}") for i in range(7)]
+    rows += [(300, " ".join(w + "##" for w in draw.choices(words, k=80)), "de", "s1"), (301, text(), None, None)]
+    got = {r.doc_id: r for r in judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(r.distance is not None for r in got.values())
+    assert not got[300].kept and sum(r.kept for i, r in got.items() if i != 300) >= 97

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from stagecheck.llm import repeats
@@ -58,3 +59,26 @@ def test_repeated_rows_and_null_ids(spark):
 
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_suffix_array_is_in_byte_order():
+    draw = random.Random(12)
+    for alphabet in ("ab", "\x00a\xff", "abcdefgh"):
+        base = "".join(draw.choices(alphabet, k=700)).encode("latin-1")
+        raw = [base[i : i + draw.randint(200, 420)] for i in draw.sample(range(300), 12)] + [b"\x00" * 230, b"a" * 260]
+        strings = [r[i : i + 200] for r in raw for i in range(len(r) - 199)]
+        phrase, order, same = repeats.suffix_array(raw)
+        assert [strings[i] for i in order] == sorted(strings)
+        assert phrase.tolist() == [n for n, r in enumerate(raw) for _ in range(len(r) - 199)]
+        assert same.tolist() == [a == b for a, b in zip(sorted(strings), sorted(strings)[1:])]
+
+
+def test_ranks_of_prefixes():
+    draw = random.Random(4)
+    text = bytes(draw.choices(b"ab", k=500)) * 2
+    for length in (8, 16, 64):
+        windows = [text[i : i + length] for i in range(len(text) - length + 1)]
+        ranks = repeats.byte_ranks(np.frombuffer(text, np.uint8), length)[: len(windows)]
+        by = sorted(range(len(windows)), key=lambda i: (ranks[i], i))
+        assert [windows[i] for i in by] == sorted(windows)
+        assert all((ranks[a] == ranks[b]) == (windows[a] == windows[b]) for a, b in zip(by, by[1:]))

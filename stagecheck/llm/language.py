@@ -8,8 +8,9 @@ text with a lower score than nearly all of these, or one of whose n-grams fewer
 The softmax only compares languages; the share of usual n-grams tells whether it is any of them.
 
 Rows of the sample are chosen by a hash of doc_id, as a share of each language that one narrow
-aggregation fixes. Their features, at most ``BUCKETS`` counts a row, go to the driver; the model
-(a table of ``BUCKETS`` by languages) is broadcast. Prediction moves no rows.
+aggregation fixes. Their features go to the driver, ``SAMPLE_BYTES`` at most: a sample that would take more is
+drawn thinner, by the sizes measured. Of more than ``MOST_LABELS`` languages the most frequent are learned. So the
+model, a table of ``BUCKETS`` by twice the languages, is 64 MB at most where it is broadcast. Prediction moves no rows.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected; one in none of
 the languages keeps the nearest one's name, has score 0 and is rejected; rows
@@ -30,11 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stagecheck.llm.common import first_columns, free_names, mix, texts_of, with_text
+from stagecheck.llm.common import first_columns, free_names, mix, settle, texts_of, with_text
 
 UNKNOWN = "und"
 #: Labelled rows that are learned from, for each language, on average; the sample is at most four times that.
 PER_LANGUAGE = 600
+#: Bytes of features that the driver receives, and languages that a model holds.
+SAMPLE_BYTES = 256 << 20
+MOST_LABELS = 256
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)  # characters of an n-gram, word borders included
 WIDTH = 16
@@ -161,22 +165,27 @@ def learn_languages(df: DataFrame, text: str = "text", lang: str = "lang", key:
                     per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Learn from rows of ``df`` with a language and a letter; None if there are none."""
     labelled = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
+    most = labelled.groupBy(lang).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), lang).limit(MOST_LABELS)
+    counts = {r[0]: r[1] for r in most.collect()}
     if not counts:
         return None
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))]), F.col(lang))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.col(key)), 11) / float(1 << 53)
-    sample = labelled.where(place < share).select(F.col(lang).alias("label"), F.col(text).alias("_text"))
+    sample = labelled.withColumn("_place", place / share).where(F.col("_place") < 1).select(
+        F.col(lang).alias("label"), "_place", F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [_features(t) for t in texts_of(batch, "_text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([b.tobytes() for b, _ in made]), pa.array([c.tobytes() for _, c in made])],
-                names=["label", "buckets", "counts"])
-
-    found = sample.mapInArrow(run, "label string, buckets binary, counts binary")
-    rows = found.where(F.octet_length("buckets") > 0).limit(4 * per_language * len(counts)).collect()
+                [batch.column(0), batch.column(1), pa.array([b.tobytes() for b, _ in made]), pa.array([c.tobytes() for _, c in made])],
+                names=["label", "place", "buckets", "counts"])
+
+    found = settle(sample.mapInArrow(run, "label string, place double, buckets binary, counts binary"), "language-sample")
+    found = found.where(F.octet_length("buckets") > 0)
+    size = found.agg(F.sum(F.octet_length("buckets") + F.octet_length("counts"))).first()[0] or 0
+    thin = min(1.0, SAMPLE_BYTES / max(1, size))
+    rows = found.where(F.col("place") < thin).limit(4 * per_language * len(counts)).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.label, bytes(r.buckets), bytes(r.counts)))

@@ -5,7 +5,8 @@ each), a document's shingles are cut into windows of 2.5 * 2**k, one every 2**(k
 run of 2 * 2**k stands whole in one window. A template of which a share of 0.8 stands there has a
 resemblance of at least 0.3 to it, and with ``BANDS`` bands of one MinHash each it is retrieved with
 probability 1 - 0.7**32, above 0.99998. What the bands retrieve is verified by exact containment: the
-share of the template's shingles that the window holds.
+share of the template's shingles that the window holds. Licenses share wording, so of finds of different
+licenses that overlap in the text the one with the greater containment stands, at equal ones that of the longer template.
 
 Only DataFrame operations. Windows without any shingle of a template can't collide in any band, so
 only the others are hashed; that keeps the signatures to a few rows while every shingle of every
@@ -27,24 +28,58 @@ from stagecheck.llm.common import settle
 SHINGLE = 5
 BANDS = 32
 CONTAINMENT = 0.8
-#: Notices as their licenses print them.
+#: License texts and the notices that go with them, as they are printed.
 TEMPLATES = (
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
                    "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required "
                    "by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
                    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                     "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+                     "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+                     "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+                     "distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+                     "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+                     "PURPOSE ARE DISCLAIMED."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                     "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+                     "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+                     "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+                     "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY "
+                     "THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+                     "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation '
             'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
             "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-                "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-                     "following conditions are met"),
+    ("MIT", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES '
+            "OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE "
+            "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR "
+            "IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+             "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+             "commercial applications, and to alter it and redistribute it freely"),
 )
 
 
@@ -110,12 +145,17 @@ def find_licenses(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc
     share = F.size(F.array_intersect("shingles", "window")) / F.size("shingles")
     places = F.expr("filter(transform(window, (h, i) -> IF(array_contains(shingles, h), i, -1)), i -> i >= 0)")
     found = met.withColumn("containment", share).where(F.col("containment") >= containment).withColumn("_at", places)
-    found = found.select("_row", "license", "containment", (F.col("start") + F.array_min("_at")).cast("int").alias("first_word"),
+    found = found.select("_row", "license", "containment", F.size("shingles").alias("shingles"), (F.col("start") + F.array_min("_at")).cast("int").alias("first_word"),
                          (F.col("start") + F.array_max("_at") + SHINGLE - 1).cast("int").alias("last_word"))
     best = found.groupBy("_row", "license").agg(F.min(F.struct(
-        (-F.col("containment")).alias("less"), "first_word", "last_word")).alias("m"))
-    best = best.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(
-        "license", (-F.col("m.less")).alias("containment"), "m.first_word", "m.last_word"))).alias("matches"))
+        (-F.col("containment")).alias("less"), (-F.col("shingles")).alias("fewer"), "first_word", "last_word")).alias("m"))
+    best = best.groupBy("_row").agg(F.collect_list(F.struct("m.*", "license")).alias("_m"))
+    # Finds are ordered by containment, then size: what stands ahead and overlaps wins.
+    alone = F.filter("_m", lambda m: ~F.exists("_m", lambda n: (n["license"] != m["license"]) & (n["first_word"] <= m["last_word"]) & (
+        m["first_word"] <= n["last_word"]) & (F.struct(n["less"], n["fewer"], n["license"]) < F.struct(m["less"], m["fewer"], m["license"]))))
+    best = best.select("_row", F.sort_array(F.transform(alone, lambda m: F.struct(
+        m["license"].alias("license"), (-m["less"]).alias("containment"), m["first_word"].alias("first_word"),
+        m["last_word"].alias("last_word")))).alias("matches"))
     out = rows.drop("_shingles", "_hits").join(best, "_row", "left")
     matches = F.coalesce("matches", F.array().cast("array<struct<license:string,containment:double,first_word:int,last_word:int>>"))
     return out.select(*keep, F.transform(matches, lambda m: m["license"]).alias("licenses"), matches.alias("matches"))

@@ -4,6 +4,8 @@ import random
 import string
 import zlib
 
+import numpy as np
+
 from stagecheck.llm import language
 
 
@@ -74,3 +76,34 @@ def test_foreign_and_random_texts_go_though_some_labels_are_wrong(spark):
     assert all(r.rejected for r in language.predict_languages(odd, model).collect())
     clean = language.predict_languages(docs.where(language.held_out()), model).collect()
     assert sum(r.rejected for r in clean if r.lang_pred != "und") <= 0.01 * len(clean)
+
+
+def test_bytes_and_labels_are_bounded(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id AS doc_id", "concat('word', id % 7, ' other', id % 11) AS text", "concat('l', id % 10) AS lang")
+    seen = {}
+    original = language.train
+    monkeypatch.setattr(language, "train", lambda rows, seed=7: seen.update(rows=rows) or original(rows, seed))
+    monkeypatch.setattr(language, "MOST_LABELS", 4)
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 20_000)
+    model = language.learn_languages(df, per_language=200)
+    assert model.labels == ["l0", "l1", "l2", "l3"]
+    assert 8_000 < sum(b.nbytes + c.nbytes for _, b, c in seen["rows"]) < 30_000
+
+
+def test_predictions_are_those_of_the_plain_formula(spark):
+    """Mean embedding, softmax and temperature, n-gram by n-gram, against the cached sums of words."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.learn_languages(docs)
+    got = {r.doc_id: r for r in language.predict_languages(docs, model).collect()}
+    for row in docs.collect():
+        buckets, counts = language._features(row.text or "")
+        if not len(buckets):
+            assert got[row.doc_id].lang_pred == "und"
+            continue
+        share = counts.astype(float) / counts.sum()
+        z = (share @ model.weights[buckets] + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        best = int(p.argmax())
+        usual = share @ model.usual[buckets, best]
+        assert got[row.doc_id].lang_pred == model.labels[best]
+        assert abs(got[row.doc_id].score - (p[best] if usual >= model.least_usual else 0.0)) < 1e-4

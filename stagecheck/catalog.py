@@ -15,6 +15,7 @@ from stagecheck import names, snapshots
 from stagecheck.functions import money, text, times
 from stagecheck.functions.hashing import row_hash, trimmed_decimal
 from stagecheck.operators import audit, cleaning, ledger, mapping, matching, numbering, reports, tracker
+from stagecheck.operators.difference import table_difference
 from stagecheck.plans import load, reconcile
 from stagecheck.sinks import files as file_sinks, tables as table_sinks
 from stagecheck.sources import files as file_sources
@@ -402,6 +403,43 @@ def sql_over_frames(spark, folder):
         file=customer_file(spark, folder), staged=customer_staged(spark, folder))
 
 
+@query("""WITH changed AS (
+          SELECT CASE WHEN o_orderkey % 307 = 5 THEN o_orderkey + 100000000 ELSE o_orderkey END AS o_orderkey, o_custkey,
+                 CASE WHEN o_orderkey % 211 = 3 THEN 'CHANGED' ELSE o_orderpriority END AS o_orderpriority, o_totalprice, o_orderdate
+          FROM orders WHERE o_orderkey % 401 <> 1
+        ), gone AS (SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, o_orderdate FROM orders EXCEPT ALL SELECT * FROM changed),
+        fresh AS (SELECT * FROM changed EXCEPT ALL SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, o_orderdate FROM orders),
+        counted AS (
+          SELECT o_orderkey, sum(l)::BIGINT AS left_rows, sum(r)::BIGINT AS right_rows FROM (
+            SELECT o_orderkey, 1 AS l, 0 AS r FROM gone UNION ALL SELECT o_orderkey, 0, 1 FROM fresh) GROUP BY o_orderkey)
+        SELECT *, CASE WHEN right_rows = 0 THEN 'left_only' WHEN left_rows = 0 THEN 'right_only' ELSE 'changed' END AS kind FROM counted""")
+def hash_tree_difference(spark, folder):
+    """Orders against a copy with one key in a hundred changed, lost or renamed: only unequal leaves are compared row by row."""
+    key = F.col("o_orderkey")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+    copy = orders.filter(key % 401 != 1).withColumn(
+        "o_orderpriority", F.when(key % 211 == 3, "CHANGED").otherwise(F.col("o_orderpriority"))).withColumn(
+        "o_orderkey", F.when(key % 307 == 5, key + 100_000_000).otherwise(key))
+    return table_difference(orders, copy, [("o_orderkey", "o_orderkey")], [(c, c) for c in orders.columns[1:]])
+
+
+@query("""SELECT 'l_partkey' AS "column", 'part' AS parent, CAST(l_partkey AS VARCHAR) AS value FROM lineitem
+          WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 50 <> 7) GROUP BY ALL
+          UNION ALL SELECT 'l_suppkey', 'supplier', CAST(l_suppkey AS VARCHAR) FROM lineitem
+          WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey <> 3) GROUP BY ALL
+          UNION ALL SELECT 'l_orderkey', 'orders', CAST(l_orderkey AS VARCHAR) FROM lineitem
+          WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 1000 <> 1) GROUP BY ALL""")
+def reference_orphans(spark, folder):
+    """Values of three references that have no parent, by one scan of the child."""
+    parents = {
+        "part": table(spark, folder, "part").filter("p_partkey % 50 <> 7"),
+        "supplier": table(spark, folder, "supplier").filter("s_nationkey <> 3"),
+        "orders": table(spark, folder, "orders").filter("o_orderkey % 1000 <> 1")}
+    return audit.reference_orphans(table(spark, folder, "lineitem"), [
+        ("l_partkey", "part", parents["part"], "p_partkey"), ("l_suppkey", "supplier", parents["supplier"], "s_suppkey"),
+        ("l_orderkey", "orders", parents["orders"], "o_orderkey")])
+
+
 # --- whole jobs over real folders --------------------------------------------------------
 
 def _both_reports(spark: SparkSession, done: reconcile.ReconPaths) -> DataFrame:
@@ -932,7 +970,7 @@ def points_ledger(spark, folder):
         "o_orderkey", "o_custkey", "balance")
 
 
-@query(_POINTS_SQL + """
+_SPENDING_SQL = _POINTS_SQL + """
 , ordered AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM points),
 walked AS (
   SELECT o_custkey, list(o_orderkey ORDER BY n) AS keys,
@@ -951,13 +989,29 @@ walked AS (
   FROM walked
 )
 SELECT keys[i] AS o_orderkey, walk[i + 1].u AS points_used, walk[i + 1].b AS balance
-FROM (SELECT keys, walk, unnest(range(1, len(keys) + 1)) AS i FROM balances)""")
+FROM (SELECT keys, walk, unnest(range(1, len(keys) + 1)) AS i FROM balances)"""
+
+
+@query(_SPENDING_SQL)
 def points_spending(spark, folder):
     rows = _orders_with_points(spark, folder)
     spent = ledger.spend_points(rows, "o_custkey", ["o_orderdate", "o_orderkey"], "gained", "total", "spends")
     return spent.select("o_orderkey", "points_used", "balance")
 
 
+@query(_SPENDING_SQL)
+def points_spending_continued(spark, folder):
+    """The same in two files: the second starts from the state the first left, and reopens customers with late rows."""
+    rows, order = _orders_with_points(spark, folder), ["o_orderdate", "o_orderkey"]
+    early = (F.year("o_orderdate") < 1997) & (F.col("o_orderkey") % 50 != 3)
+    columns, args = ["o_custkey", "o_orderkey", "points_used", "balance"], ("o_custkey", order, "gained", "total", "spends")
+    none = rows.limit(0)
+    first = ledger.continue_spending(rows.filter(early), none, ledger.empty_state(rows, "o_custkey", order), *args)
+    second = ledger.continue_spending(rows.filter(~early), rows.filter(early), first.state, *args)
+    whole = ledger.taken_up(first.rows.select(*columns), replace(second, rows=second.rows.select(*columns)), "o_custkey")
+    return whole.drop("o_custkey")
+
+
 @query(_POINTS_SQL + """
 SELECT c_custkey, CAST(coalesce(points, 0) AS DECIMAL(18,2)) AS points FROM customer LEFT JOIN (
   SELECT o_custkey, sum(gained - CASE WHEN spends THEN CAST(5 AS DECIMAL(18,2)) ELSE 0 END) AS points
@@ -1005,6 +1059,16 @@ def tracker_upsert(spark, folder):
     return _tracked(spark, folder).drop("ts")
 
 
+@query(_STATUS_SQL + " SELECT * FROM latest")
+def tracker_stored(spark, folder):
+    """The same as a stored table: the second upsert rewrites only the buckets that its changes fall into."""
+    log, path = _status_log(spark, folder), scratch_path(spark, "tracker")
+    noon = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    for changes in (log.filter(F.col("ts") < noon), log.filter(F.col("ts") >= noon)):
+        table_sinks.upsert_stored(changes, path, tracker.TRACKER_KEYS, ["ts", "event_id"], ["recon_summary"], buckets=16)
+    return table_sinks.read_stored(spark, path).drop("ts")
+
+
 @query(_STATUS_SQL + """ SELECT file_name, mig_sts FROM latest WHERE executing_for_table = 'error'""")
 def tracker_poll(spark, folder):
     return tracker.poll_status(

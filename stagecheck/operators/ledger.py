@@ -10,6 +10,7 @@ carry has at most one row per slot and may be broadcast at any data size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -112,8 +113,15 @@ def spend_points(
     row-by-row state is needed; the use falls short of the total by as much as the order
     pushes that lowest value down.
     """
-    wanted = F.when(F.col(spends), F.col(total)).otherwise(F.lit(0).cast(MONEY))
-    summed = running_sum(df, customer, order, F.col(gained) - wanted)
+    summed = running_sum(df, customer, order, F.col(gained) - _wanted(total, spends))
+    return _spent(summed, _wanted(total, spends), used_name, name)
+
+
+def _wanted(total: str, spends: str) -> Column:
+    return F.when(F.col(spends), F.col(total)).otherwise(F.lit(0).cast(MONEY))
+
+
+def _spent(summed: DataFrame, wanted: Column, used_name: str, name: str) -> DataFrame:
     low_before = F.least(F.col(_LOW_BEFORE), F.lit(0))
     low_here = F.least(low_before, F.col(_SUM))
     return (
@@ -123,6 +131,74 @@ def spend_points(
     )
 
 
+@dataclass(frozen=True)
+class Continued:
+    """What new rows do to a ledger: rows to put in place of those of ``reopened`` customers, and the state after them."""
+
+    rows: DataFrame
+    reopened: DataFrame
+    state: DataFrame
+
+
+def empty_state(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The state of a ledger without rows: per key the sum and the lowest running sum, in cents, and the last place in order."""
+    last = F.struct(*[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order]).alias("last")
+    none = F.lit(None).cast("bigint")
+    return df.limit(0).select(key, none.alias("total"), none.alias("lowest"), last)
+
+
+def _continued(
+    new: DataFrame, history: DataFrame, state: DataFrame, key: str, order: Sequence[str], change: Column,
+) -> Continued:
+    """Running sums of ``new`` on top of ``state``, in the columns that :func:`running_sum` adds.
+
+    A customer with a new row ahead of one that is counted already is reopened: all rows are summed
+    again. For the others the state stands for the history, which is not read.
+    """
+    place = F.struct(*order)
+    late = new.join(state.select(F.col(key).alias("_key"), "last"), new[key].eqNullSafe(F.col("_key"))).filter(place < F.col("last"))
+    late = pin(late.select(F.col("_key")).distinct(), "reopened")
+    again = history.join(late, history[key].eqNullSafe(late["_key"]), "left_semi")
+    known = state.withColumnRenamed(key, "_key").join(late.withColumnRenamed("_key", "_late"), F.col("_key").eqNullSafe(F.col("_late")), "left_anti")
+    known = known.withColumnsRenamed({"total": "_known_total", "lowest": "_known_lowest"}).drop("last")
+    summed = running_sum(new.unionByName(again), key, order, change)
+    summed = summed.join(known, summed[key].eqNullSafe(known["_key"]), "left").drop("_key")
+    base = F.coalesce("_known_total", F.lit(0))
+    rows = pin(summed.withColumns({
+        _LOW_BEFORE: F.least("_known_lowest", base + F.col(_LOW_BEFORE)), _SUM: base + F.col(_SUM)}), "continued")
+    touched = rows.groupBy(key).agg(
+        F.max_by(_SUM, place).alias("total"), F.min(F.least(_SUM, "_known_lowest")).alias("lowest"), F.max(place).alias("last"))
+    seen = touched.select(F.col(key).alias("_key"))
+    rest = state.join(seen, state[key].eqNullSafe(seen["_key"]), "left_anti")
+    after = pin(touched.unionByName(rest), "ledger-state")
+    return Continued(rows.drop("_known_total", "_known_lowest"), late.withColumnRenamed("_key", key), after)
+
+
+def continue_ledger(
+    new: DataFrame, history: DataFrame, state: DataFrame, customer: str, order: Sequence[str], gained: str, used: str,
+    name: str = "balance",
+) -> Continued:
+    """``points_ledger`` of the rows of one more file, from the state that the files before left."""
+    done = _continued(new, history, state, customer, order, F.col(gained) - F.col(used))
+    return replace(done, rows=done.rows.withColumn(name, _money(F.col(_SUM))).drop(_SUM, _LOW_BEFORE))
+
+
+def continue_spending(
+    new: DataFrame, history: DataFrame, state: DataFrame, customer: str, order: Sequence[str], gained: str, total: str,
+    spends: str, used_name: str = "points_used", name: str = "balance",
+) -> Continued:
+    """``spend_points`` of the rows of one more file, from the state that the files before left."""
+    wanted = _wanted(total, spends)
+    done = _continued(new, history, state, customer, order, F.col(gained) - wanted)
+    return replace(done, rows=_spent(done.rows, wanted, used_name, name))
+
+
+def taken_up(ledger: DataFrame, done: Continued, customer: str) -> DataFrame:
+    """The whole ledger after :func:`continue_ledger` or :func:`continue_spending`: rows of reopened customers are replaced."""
+    gone = done.reopened.select(F.col(customer).alias("_gone"))
+    return ledger.join(gone, ledger[customer].eqNullSafe(gone["_gone"]), "left_anti").unionByName(done.rows)
+
+
 def customer_balance(
     customers: DataFrame, orders: DataFrame, key: str, fk: str, gained: str, used: str, name: str = "points",
 ) -> DataFrame:

@@ -14,10 +14,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from stagecheck import names, snapshots
 from stagecheck.operators.audit import pk_duplicates, reference_orphans
 from stagecheck.operators.mapping import coerce_declared
+from stagecheck.operators.tracker import upsert_latest
 from stagecheck.snapshots import Aside, Folder, Snapshot
 from stagecheck.sources.tables import table_path
 from stagecheck.spec import Column, TableSpec
-from stagecheck.storage import path_exists
+from stagecheck.storage import path_exists, pin, pin_scope
+
+
+#: Column that tells the buckets of an upserted table apart.
+BUCKET = "bucket"
 
 
 def delete_file(spark: SparkSession, path: str, origin_file: str) -> bool:
@@ -186,6 +191,50 @@ def reload_file(df: DataFrame, path: str, partition: str, files: Sequence[str] =
         new.commit(lambda base: base.without_files(gone).with_folders(new.folders))
 
 
+class _Overtaken(Exception):
+    """Another upsert has rewritten a bucket that this one read."""
+
+
+def upsert_stored(
+    changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], keep_when_null: Sequence[str] = (),
+    buckets: int = 64,
+) -> int:
+    """Upsert into a stored table as ``upsert_latest`` does, rewriting only the buckets that changes fall into.
+
+    Rows lie in ``buckets`` folders by the hash of their key; what is written grows with the changes, not
+    with the table. ``buckets`` must stay what it was at the first call. Of two upserts of one bucket at the same
+    time the later one starts over from what the other left. Returns the number of buckets rewritten.
+    """
+    spark = changes.sparkSession
+    if BUCKET in changes.columns:
+        raise ValueError(f"{BUCKET} is the name of the bucket's own column")
+    with pin_scope(spark):
+        placed = pin(changes.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), "changes")
+        touched = {str(r[0]) for r in placed.select(BUCKET).distinct().collect()}  # at most ``buckets``
+        for _ in range(snapshots.ATTEMPTS):
+            stored = [f for f in snapshots.latest(spark, path).folders if f.file in touched]
+            merged = upsert_latest(
+                snapshots.read_folders(spark, path, stored, placed.schema), placed, [BUCKET, *keys], order, keep_when_null)
+
+            def change(base: Snapshot, stored=stored) -> Snapshot:
+                if [f for f in base.folders if f.file in touched] != stored:
+                    raise _Overtaken
+                return base.without_files(touched).with_folders(new.folders)
+
+            try:
+                with snapshots.aside(merged.repartition(BUCKET), path, BUCKET) as new:
+                    new.commit(change)
+                return len(touched)
+            except _Overtaken:
+                continue
+    raise snapshots.Conflict(f"{path}: other upserts were first {snapshots.ATTEMPTS} times")
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table that ``upsert_stored`` keeps."""
+    return snapshots.read(spark, path).drop(BUCKET)
+
+
 def delete_by_file(df: DataFrame, origin_file: str, column: str = names.PRE_ORIGIN_FILE) -> DataFrame:
     """The table without the rows of one file; rows of unknown origin stay."""
     return df.filter(~F.col(column).eqNullSafe(F.lit(origin_file)))

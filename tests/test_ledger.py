@@ -67,3 +67,35 @@ def test_customer_balance_defaults_to_zero(spark):
     df = spark.createDataFrame([(1, Decimal("3.50"), Decimal("1.00"))], "cust int, g decimal(10,2), u decimal(10,2)")
     got = ledger.customer_balance(customers, df, "id", "cust", "g", "u")
     assert {r.id: r.points for r in got.collect()} == {1: Decimal("2.50"), 2: Decimal("0.00")}
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_files_one_after_another_make_the_full_ledger(spark, seed):
+    """Three files, with rows that come late and customers that are new; one customer has no id."""
+    rows = [(i, None if c == 7 else c, at, *rest) for i, c, at, *rest in orders(seed, 300)]
+    want = walk([(i, -1 if c is None else c, *rest) for i, c, *rest in rows])
+    draw = random.Random(seed)
+    files = [[], [], []]
+    for r in rows:
+        files[draw.choice([0, 1, 2]) if draw.random() < 0.1 else min(2, r[2] // 17)].append(r)
+    frames = [spark.createDataFrame(f, SCHEMA) for f in files]
+    order = ["at", "id"]
+    for continued, args, columns, pick in (
+            (ledger.continue_ledger, ("gained", "used"), ("balance",), slice(0, 1)),
+            (ledger.continue_spending, ("gained", "total", "spends"), ("points_used", "balance"), slice(1, 3))):
+        state, whole, history, reopened = ledger.empty_state(frames[0], "cust", order), None, frames[0].limit(0), 0
+        for frame in frames:
+            done = continued(frame, history, state, "cust", order, *args)
+            whole = done.rows if whole is None else ledger.taken_up(whole, done, "cust")
+            state, history, reopened = done.state, history.unionByName(frame), reopened + done.reopened.count()
+        assert {r.id: tuple(r[c] for c in columns) for r in whole.collect()} == {i: w[pick] for i, w in want.items()}
+        assert reopened > 0 and state.count() == len({r[1] for r in rows})
+
+
+def test_history_is_read_for_reopened_customers_only(spark):
+    first = spark.createDataFrame(orders(6, 50), SCHEMA)
+    done = ledger.continue_ledger(first, first.limit(0), ledger.empty_state(first, "cust", ["at", "id"]), "cust", ["at", "id"], "gained", "used")
+    later = spark.createDataFrame([(900 + i, c, 99, *rest) for i, c, _, *rest in orders(7, 20)], SCHEMA)
+    broken = first.withColumn("gained", F.raise_error(F.lit("history was read")).cast("decimal(10,2)"))
+    more = ledger.continue_ledger(later, broken, done.state, "cust", ["at", "id"], "gained", "used")
+    assert more.reopened.count() == 0 and more.rows.count() == 20

@@ -214,3 +214,29 @@ def test_a_load_with_several_references(spark, tmp_path):
         tables.write_final(made(1, 2, 5), root, spec)
     tables.write_final(made(1, 2, None), root, spec)
     assert read_final(spark, root, spec).count() == 1
+
+
+def test_upserts_rewrite_touched_buckets_only(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "tracker"), "k string, v string, note string, seq int"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    upsert = lambda rows: tables.upsert_stored(make(rows), path, ["k"], ["seq"], ["note"], buckets=8)
+    assert upsert([(f"k{i}", "old", f"n{i}", 1) for i in range(100)]) == 8
+    before = {f.file: f.path for f in snapshots.latest(spark, path).folders}
+    assert upsert([("k7", "new", None, 2), ("k7", "newer", None, 3), ("extra", "x", None, 1)]) <= 2
+    after = {f.file: f.path for f in snapshots.latest(spark, path).folders}
+    assert 1 <= sum(after[b] != before[b] for b in after) <= 2
+    got = {r.k: (r.v, r.note) for r in tables.read_stored(spark, path).collect()}
+    assert len(got) == 101 and got["k7"] == ("newer", "n7") and got["extra"] == ("x", None) and got["k8"] == ("old", "n8")
+    assert upsert([]) == 0
+
+    real, first = snapshots.publish, []
+
+    def overtaken(*args):
+        if not first:
+            first.append(1)
+            upsert([("k7", "theirs", "t", 8)])
+        return real(*args)
+
+    monkeypatch.setattr(snapshots, "publish", overtaken)
+    upsert([("k7", "mine", None, 9)])
+    assert {r.k: (r.v, r.note) for r in tables.read_stored(spark, path).collect()}["k7"] == ("mine", "t")

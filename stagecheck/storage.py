@@ -15,9 +15,16 @@ _pinned: ContextVar[list[str] | None] = ContextVar("pinned", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or else the session's warehouse: both are shared by all executors."""
+    """The folder named by ``spark.checkpoint.dir``, or else the session's warehouse: both are shared by all executors.
+
+    On a cluster a warehouse in a local folder is not, so the setting is asked for there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and file_system(spark, folder)[0].getScheme() == "file":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {folder} is a local one")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

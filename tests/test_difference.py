@@ -41,17 +41,21 @@ def test_equal_and_empty_tables(spark):
     assert difference.table_difference(one, two.filter("false"), [("id", "pk")], [("v", "w")]).count() == 1000
 
 
-def test_equal_tables_move_sums_alone(spark, tmp_path):
+def test_equal_tables_move_sums_alone(spark, tmp_path, monkeypatch):
+    """One aggregate of nodes over both tables; no level below the first, and nothing left to compare."""
+    levels, below = [], []
+    real, picked = difference._unequal, difference._below
+    monkeypatch.setattr(difference, "_unequal", lambda left, right, bits: levels.append((bits, real(left, right, bits))) or levels[-1][1])
+    monkeypatch.setattr(difference, "_below", lambda rows, nodes, count, bits: below.append(count) or picked(rows, nodes, count, bits))
     spark.range(200_000).selectExpr("id", "cast(id AS string) AS v").write.parquet(str(tmp_path / "a"))
     table = spark.read.parquet(str(tmp_path / "a"))
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("difference", "")
     result = difference.table_difference(table, table.withColumnsRenamed({"id": "k", "v": "w"}), [("id", "k")], [("v", "w")])
-    stages = [s for j in tracker.getJobIdsForGroup("difference") for s in tracker.getJobInfo(j).stageIds]
-    spark.sparkContext._jsc.clearJobGroup()
-    assert result.count() == 0 and stages
-    # At most a row per task and node of the first level was written to any shuffle.
-    assert (2 ** difference.FIRST_BITS) * 16 < 200_000
+    assert result.count() == 0 and below == [0, 0]
+    assert [bits for bits, _ in levels] == [difference.FIRST_BITS] and levels[0][1].count() == 0
+    sums = difference._sums(difference._side(table, ["id"], ["v"], table, ["id", "v"]), difference.FIRST_BITS, 1)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")  # summed before anything moves
+    assert sums.count() <= 2**difference.FIRST_BITS
 
 
 def test_one_fault_reads_one_leaf(spark, monkeypatch):

@@ -1,5 +1,8 @@
 """Pinned tables: where they lie, who owns them, and how many slots a frame gets."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from stagecheck import storage
 from stagecheck.operators.numbering import number_rows
 
@@ -37,3 +40,28 @@ def test_rows_with_maps_can_be_numbered(spark):
     got = number_rows(df, ["k"]).collect()
     assert sorted(r.id for r in got) == list(range(20))
     assert [r.k for r in sorted(got, key=lambda r: r.id)] == sorted(i % 4 for i in range(20))
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster():
+    class Context:
+        master, getCheckpointDir = "spark://host:7077", staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+
+    class Local:
+        getScheme = staticmethod(lambda: "file")
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(storage, "file_system", lambda spark, path: (Local, path))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            storage.shared_folder(Session)
+        patch.setattr(Context, "master", "local[2]")
+        assert storage.shared_folder(Session) == "file:/tmp/warehouse"
+
+
+def test_an_input_read_twice_counts_once(spark, tmp_path):
+    spark.range(100_000).repartition(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert storage.input_sizes(df.join(df.filter("id > 3").withColumnRenamed("id", "b"), df["id"] == F.col("b"))) == storage.input_sizes(df)

@@ -13,6 +13,9 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two steps until nothing moves: every node hands its larger neighbours, then its
     smaller ones, to the least node it knows. Both are a minimum per node, which combines
     before its shuffle, and a join against one row for each node.
+
+    Defined cases: a link to itself or to null is none; repeated links count once, in either direction;
+    without links there are no rows; nodes may be of any type that can be ordered; other columns are not looked at.
     """
     edges = settle(_oriented(links), "links")
     before = None
@@ -31,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _oriented(links: DataFrame) -> DataFrame:
-    return links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return links.select("a", "b").where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _to_least(links: DataFrame, wanted) -> DataFrame:

@@ -90,13 +90,14 @@ class _Load:
             kept = base.without_files(replaced)
             if check_keys:
                 files = {f.file for f in new.folders}
+                ends = {(f.low, f.high): f for f in new.folders if f.rows != 0}.values()  # folders of a load share them
                 near = [f for f in kept.folders
-                        if f.path not in seen and (f.file in files or not own_files) and any(_may_meet(f, n) for n in new.folders)]
+                        if f.path not in seen and (f.file in files or not own_files) and any(_may_meet(f, n) for n in ends)]
                 if near:
                     stored = snapshots.read_folders(new.spark, self.path, near, self.schema)
                     keys = [*self.keys, self.partition] if own_files else self.keys
-                    ends = self.seen.get["low"], self.seen.get["high"]
-                    example = stored_collisions(new.rows(self.schema), stored, keys, ends).first()
+                    known = self.seen.get["low"], self.seen.get["high"]
+                    example = stored_collisions(new.rows(self.schema), stored, keys, known).first()
                     if example is not None:
                         raise ValueError(f"{self.table}: key {example.asDict()} is not unique")
                 seen.update(f.path for f in kept.folders)
@@ -170,7 +171,9 @@ def _refuse_orphans(rows: DataFrame, root: str, spec: TableSpec) -> None:
     spark, parents = rows.sparkSession, {}
     for reference in spec.foreign_keys:
         path = table_path(root, reference.parent)
-        parents[reference.parent] = snapshots.read(spark, path) if path_exists(spark, path) else None
+        now = snapshots.latest(spark, path)
+        stored = bool(now.folders) or not now.version and path_exists(spark, path)
+        parents[reference.parent] = snapshots.read(spark, path, snapshot=now) if stored else None
     example = reference_orphans(rows, [(r.column, r.parent, parents[r.parent], r.parent_column) for r in spec.foreign_keys]).first()
     if example is not None:
         raise ValueError(f"{spec.final_name}: {example.column} {example.value} has no row in {example.parent}")

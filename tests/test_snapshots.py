@@ -214,6 +214,15 @@ def test_a_load_with_several_references(spark, tmp_path):
         tables.write_final(made(1, 2, 5), root, spec)
     tables.write_final(made(1, 2, None), root, spec)
     assert read_final(spark, root, spec).count() == 1
+    tables.delete_file(spark, f"{root}/T", "F1")
+    with pytest.raises(ValueError, match="p 2 has no row in T"):  # a parent table that has lost all its rows
+        tables.write_final(made(2, 2, None), root, spec)
+
+
+def test_a_change_made_twice_lists_folders_once():
+    folder = snapshots.Folder("F", "a")
+    once = snapshots.Snapshot(1, ()).with_folders([folder])
+    assert once.with_folders([folder]) == once
 
 
 def test_upserts_rewrite_touched_buckets_only(spark, tmp_path, monkeypatch):

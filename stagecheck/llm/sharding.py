@@ -42,7 +42,10 @@ def _leaves(cells: DataFrame, deep: int, above: int, limit: int) -> DataFrame:
     spread = cells.withColumn("depth", F.explode(F.sequence(F.lit(above), F.lit(deep))))
     spread = spread.withColumn("prefix", F.expr(f"shiftright(cell, {deep} - depth)"))
     fits = spread.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.sum("rows").alias("shard_rows"))
-    fits = fits.where(F.col("shard_bytes") <= limit)
+    fits = settle(fits.where(F.col("shard_bytes") <= limit), "shard-fits")
+    # Short prefixes hold very many cells each, and none of them fits.
+    least = fits.agg(F.min("depth")).first()[0]
+    spread = spread.where(F.col("depth") >= (deep if least is None else least))
     return (
         spread.select("cell", "depth", "prefix").join(fits, ["depth", "prefix"])
         .groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_rows")).alias("leaf"))

@@ -552,10 +552,10 @@ def flat_file_scan(spark, folder):
 
 @query("SELECT doc_id, text, lang, source FROM documents")
 def quoted_file_scan(spark, folder):
-    """The same through one large file that many tasks read: blocks are cut at true record ends."""
+    """The same through large files that many tasks read each: blocks are cut at true record ends."""
     path = scratch_path(spark, "quoted")
     rows = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    rows.coalesce(1).write.options(**file_sinks.WRITE_OPTIONS).csv(path)
+    file_sinks.write_large_files(rows, path)
     back = read_quoted_file(spark, path, rows.columns)
     return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 

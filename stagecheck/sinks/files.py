@@ -12,7 +12,7 @@ from stagecheck.functions.hashing import row_hash
 from stagecheck.operators.reports import REPORT_ORDER, Detail
 from stagecheck.sources.files import FILE_ORDER, file_manifest
 from stagecheck.sources.quoted import PLACE, read_quoted_file
-from stagecheck.storage import delete_path
+from stagecheck.storage import delete_path, input_slots
 
 # Blank cells are written as nothing at all, quotes inside a cell are doubled, and outer
 # spaces, which Spark would cut off by default, are kept.
@@ -25,6 +25,10 @@ WRITE_OPTIONS = {
 CODECS = ("gzip", "bzip2", "snappy", "lz4", "deflate")
 
 
+# Text that one task writes to a file of ``write_large_files``: readers cut it into some blocks.
+LARGE_FILE_BYTES = 256 << 20
+
+
 def report_path(root: str, table: str, file_name: str, stage: int, report: str) -> str:
     stem = file_name.rpartition(".")[0] or file_name
     return f"{root.rstrip('/')}/{table}/{stem}_STAGE{stage}_{report}.csv"
@@ -47,6 +51,15 @@ def write_detail(detail: Detail, path: str, passed: int | None = None, failed: i
     ordered.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
+def write_large_files(df: DataFrame, path: str, file_bytes: int | None = None) -> None:
+    """Write large delimited files, one for every ``file_bytes`` or so of what ``df`` reads and one at least.
+
+    A task takes up some blocks of the input as they lie, so nothing is shuffled.
+    """
+    files = input_slots(df, file_bytes or LARGE_FILE_BYTES, least=1)
+    df.coalesce(files).write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
+
+
 def extract_table(
     df: DataFrame, hash_columns: Sequence[str], out_dir: str, table: str, file_datetime: str,
     kinds: dict[str, str] | None = None,

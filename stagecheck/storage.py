@@ -66,11 +66,10 @@ def pin_scope(spark: SparkSession) -> Iterator[None]:
         _pinned.reset(token)
 
 
-def input_slots(df: DataFrame, slot_bytes: int = 128 << 20) -> int:
-    """Partitions for ``df`` by the size of the files it reads, three times what they take on disk; at least the session's."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def input_slots(df: DataFrame, slot_bytes: int = 128 << 20, least: int | None = None) -> int:
+    """Partitions for ``df`` by the size of the files it reads, three times what they take on disk; at least ``least``, or the session's."""
     known = [s for s in input_sizes(df) if s is not None]
-    return max(least, math.ceil(3 * sum(known) / slot_bytes))
+    return max(least or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(3 * sum(known) / slot_bytes))
 
 
 def input_sizes(df: DataFrame) -> list[float | None]:

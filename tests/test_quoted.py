@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from stagecheck.catalog import QUERIES
+from stagecheck.sinks import files as sinks
 from stagecheck.sources.files import read_flat_file
 from stagecheck.sources.quoted import PLACE, read_quoted_file
 
@@ -75,3 +77,20 @@ def test_one_large_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
     assert got.rdd.getNumPartitions() > 20 and got.count() == 400
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan
+
+
+def test_large_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The scan's files grow in number with the input, not in size; a small input still goes to one."""
+    rows = spark.range(600).selectExpr("id AS doc_id", "concat('a\n\"', repeat(uuid(), 20)) AS text", "'en' AS lang", "'s' AS source")
+    rows.repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted(map(tuple, spark.read.parquet(str(tmp_path / "documents.parquet")).collect()))
+    scan = QUERIES["quoted_file_scan"]
+    assert len(scan(spark, str(tmp_path)).inputFiles()) == 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        monkeypatch.setattr(sinks, "LARGE_FILE_BYTES", 30_000)
+        back = scan(spark, str(tmp_path))
+        assert 3 <= len(back.inputFiles()) <= 12
+        assert sorted(map(tuple, back.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -22,7 +22,7 @@ from stagecheck.sources import files as file_sources
 from stagecheck.sources.quoted import read_quoted_file
 from stagecheck.sources.tables import query_frames, read_final, read_staged, table_path
 from stagecheck.spec import Column, ColumnMapping, ForeignKey, TableSpec, specs_from_config
-from stagecheck.storage import pin, scratch_path
+from stagecheck.storage import input_slots, pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -590,7 +590,7 @@ def compact_roundtrip(spark, folder):
     """Texts with line breaks and quotes: whole, and in the order of the many files."""
     root = scratch_path(spark, "compact")
     rows = table(spark, folder, "documents").select("doc_id", "text")
-    rows.repartitionByRange(16, "doc_id").sortWithinPartitions("doc_id").write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/many")
+    rows.repartitionByRange(input_slots(rows, least=16), "doc_id").sortWithinPartitions("doc_id").write.options(**file_sinks.WRITE_OPTIONS).csv(f"{root}/many")
     file_sinks.compact_dataset(spark, f"{root}/many", f"{root}/few", target_files=3)
     return _in_file_order(spark, f"{root}/few", rows.columns).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 

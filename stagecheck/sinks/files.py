@@ -111,19 +111,20 @@ def archive_dataset(
 
 
 def compact_dataset(
-    spark: SparkSession, source: str, target: str, target_bytes: int = 256 << 20, target_files: int | None = None,
+    spark: SparkSession, source: str, target: str, target_bytes: int = 128 << 20, target_files: int | None = None,
 ) -> int:
     """Rewrite many small delimited files as a few of about ``target_bytes`` each; returns their number.
 
-    Part files, read by name, hold the records in listing order: by file, then as in the file.
+    ``target_files`` asks for so many at least: a file is written by one task, so large datasets get
+    more, of ``target_bytes`` each. Part files, read by name, hold the records in listing order: by
+    file, then as in the file.
     """
-    if target_files is None:
-        size = file_manifest(spark, source).agg(F.sum("length").alias("size")).first()["size"] or 0
-        target_files = max(1, math.ceil(size / target_bytes))
+    size = file_manifest(spark, source).agg(F.sum("length").alias("size")).first()["size"] or 0
+    files = max(1, target_files or 1, math.ceil(size / target_bytes))
     rows = read_quoted_file(spark, source, places=True)
-    ordered = rows.repartitionByRange(target_files, *PLACE).sortWithinPartitions(*PLACE)
+    ordered = rows.repartitionByRange(files, *PLACE).sortWithinPartitions(*PLACE)
     ordered.drop(*PLACE).write.mode("overwrite").options(**WRITE_OPTIONS).csv(target)
-    return target_files
+    return files
 
 
 def write_merged(merged: DataFrame, path: str) -> None:

@@ -85,6 +85,17 @@ def test_compact(spark, tmp_path):
     assert sources.read_flat_file(spark, str(tmp_path / "few")).count() == 100
 
 
+def test_compacted_files_stay_bounded(spark, tmp_path):
+    """A wish for few files does not put a large dataset into few tasks."""
+    spark.range(4000).selectExpr("id", "'two\nlines' AS v").repartitionByRange(12, "id").write.option("header", True).csv(str(tmp_path / "many"))
+    size = sum(f.stat().st_size for f in (tmp_path / "many").glob("part-*"))
+    made = sinks.compact_dataset(spark, str(tmp_path / "many"), str(tmp_path / "few"), target_bytes=size // 8, target_files=3)
+    parts = sorted((tmp_path / "few").glob("part-*"))
+    assert made >= 8 and max(f.stat().st_size for f in parts) < size / 4
+    text = "".join(f.read_text().removeprefix("id,v\n") for f in parts)
+    assert text == "".join(f'{i},"two\nlines"\n' for i in range(4000))
+
+
 def test_extract_skips_tables_without_hash(spark, tmp_path):
     assert sinks.extract_table(spark.range(1), [], str(tmp_path), "T", "1.2") is None
     path = sinks.extract_table(spark.range(2), ["id"], str(tmp_path), "T", "1.2")

@@ -67,27 +67,35 @@ def first_columns(batch: pa.RecordBatch, names: Sequence[str]) -> list[pa.Array]
     return batch.columns[: len(names)]
 
 
-SIEVE_BITS = 1 << 27
+LEAST_BITS, SIEVE_BITS = 1 << 16, 1 << 27
+BITS_PER_VALUE = 64  # so that few values pass by chance
 
 
 def sieve(values: DataFrame, column: str):
-    """A broadcast bitmap of 16 MB, whatever ``values`` (a column of longs) hold; ``passes`` reads it.
+    """A broadcast bitmap for the written table ``values`` (a column of longs), by their number, of 16 MB at most; ``passes`` reads it.
 
     It spares a shuffle rows that a later join would drop; what it lets through by chance
-    the join still drops. The fuller it gets, the less it spares.
+    the join still drops. The fuller it gets, the less it spares. All of it comes to the driver by one job, for
+    a job for each partition leaves the driver with the records of thousands of stages.
     """
-    at = F.pmod(F.col(column), F.lit(SIEVE_BITS)) + 1
+    size = LEAST_BITS
+    wanted = min(SIEVE_BITS, BITS_PER_VALUE * values.count())
+    while size < wanted:
+        size *= 2
+    at = F.pmod(F.col(column), F.lit(size)) + 1
     parts = values.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-    bits = np.zeros(SIEVE_BITS // 8, np.uint8)
-    for row in parts.toLocalIterator():
-        start = (row.part - 1) * len(row.bits)
-        bits[start : start + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    bits = np.zeros(size // 8, np.uint8)
+    for batch in parts.toArrow().to_batches():
+        for part, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if part is not None:  # a null value is in no join
+                found = np.frombuffer(own.as_buffer(), np.uint8)
+                bits[(part - 1) * len(found) : part * len(found)] = found
     return values.sparkSession.sparkContext.broadcast(bits)
 
 
 def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the signed 64-bit ``values`` may be in the sieve."""
-    at = values % SIEVE_BITS
+    at = values % (8 * len(bits))
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 

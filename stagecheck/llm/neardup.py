@@ -229,8 +229,8 @@ def signed(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
     return own.mapInArrow(run, f"{kept}, node binary, bands array<bigint>, n_shingles bigint")
 
 
-def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """``key``, text_key, rid, root (of the group), group_id (its least key) and group_size for every row."""
+def _rooted(df: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
+    """``key``, text_key, rid and root (of the group) for every row."""
     # n64 stands for a node where chance agreement would only bring more texts into one comparison.
     rows = settle(signed(df, text, (key,)).withColumns({"rid": F.xxhash64(key), "n64": F.xxhash64("node")}), "bag-rows")
     buckets = rows.select("n64", F.explode("bands").alias("bucket")).groupBy("bucket").agg(
@@ -243,6 +243,12 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
     links = settle(_compared(_candidates(df, rows, groups, text, key), similarity), "bag-links")
     roots = components(links)
     own = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return own.select(key, "text_key", "rid", "root")
+
+
+def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """``key``, text_key, rid, root (of the group), group_id (its least key) and group_size for every row."""
+    own = _rooted(df, text, key, similarity)
     classes = own.groupBy("root").agg(F.min(key).alias("group_id"), F.count("*").alias("group_size"))
     return own.join(classes, "root").select(key, "text_key", "rid", "root", "group_id", "group_size")
 
@@ -265,9 +271,9 @@ def _candidates(df: DataFrame, rows: DataFrame, groups: DataFrame, text: str, ke
     picked = rows.select("node", "n64", "text_key", "rid", "n_shingles").join(groups, "n64").groupBy("node").agg(F.min(F.struct(
         "text_key", "rid", "work", "n_shingles")).alias("p")).select("node", "p.*")
     picked = settle(picked, "bag-picked")
+    only = sieve(picked, "rid")
     need = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
     picked = picked.join(picked.groupBy("work").agg(F.ceil(need).cast("int").alias("blocks")), "work")
-    only = sieve(picked, "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,7 +317,8 @@ def _compared(texts: DataFrame, similarity: float) -> DataFrame:
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """``df`` with one row of each group of near-duplicates, that of the least key; all its columns stay."""
-    groups = near_duplicates(df, text, key, similarity)
+    # Who is kept follows from the roots; a join with the groups' sizes would gather all copies of a text.
+    groups = _rooted(df, text, key, similarity)
     first = groups.groupBy("root", "text_key", "rid").agg(F.min(key).alias("key"), F.count("*").alias("rows"))
     first = first.groupBy("root").agg(F.min(F.struct("key", "text_key", "rid", "rows")).alias("k"))
     own, rid, rows = free_names(("_text_key", "_rid", "_rows"), df.columns)

@@ -1,5 +1,7 @@
 """Pinned tables: where they lie, who owns them, and how many slots a frame gets."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,35 @@ def test_an_input_read_twice_counts_once(spark, tmp_path):
     spark.range(100_000).repartition(1).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
     assert storage.input_sizes(df.join(df.filter("id > 3").withColumnRenamed("id", "b"), df["id"] == F.col("b"))) == storage.input_sizes(df)
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def _left_behind(spark, before):
+    """Shuffle files that are new since ``before``, once Spark has had time to delete some."""
+    for _ in range(50):
+        if not (new := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return new
+
+
+def test_pinned_rows_leave_no_shuffle_files(spark):
+    """What was exchanged for a pinned table takes no disk beside it, and the session's setting is as it was."""
+    before, dealt = _shuffle_files(spark), spark.range(20_000).repartitionByRange(3, "id")
+    pinned = storage.pin(dealt, "dealt")
+    assert not _left_behind(spark, before)
+    assert pinned.count() == dealt.count() == 20_000
+    assert spark.conf.get(storage.SHUFFLE_CLEANUP, None) is None
+
+
+def test_parts_are_read_back_as_one(spark):
+    with storage.pin_scope(spark):
+        parts = storage.pin_parts((spark.range(k, k + 5) for k in (0, 5)), "parts")
+        assert sorted(r.id for r in parts.collect()) == list(range(10))
+        folders = {f.rsplit("/", 1)[0] for f in parts.inputFiles()}
+        assert len(folders) == 2
+    assert not any(storage.path_exists(spark, f) for f in folders)
